@@ -1,2 +1,198 @@
-QUERIES: dict = {}
-ORACLE: dict = {}
+"""Problem 1: text that was decoded with another encoding than it was written in.
+
+Method: every distinct word of the corpus that holds a character beyond ASCII, and every
+run of such characters, is a unit.  For each unit its garbled forms under all encoding
+chains are generated (written as UTF-8 and read by a single-byte or East Asian decoder,
+once or twice, also re-cased or stripped of its non-breaking space; written by one
+single-byte encoder and read by another, or read as UTF-8 with replacement characters).
+That table is hash-joined with the units that occur; a match that passes verification
+marks the unit as garbled and names its original.  Rows holding such a unit are found;
+restoration substitutes the verified originals, longest unit first.
+
+Verification:
+- a UTF-8 chain makes text longer, so a match needs two characters or more, or a word
+  that mixes ASCII letters with the garbled ones;
+- a form with U+FFFD is garbled wherever it stands;
+- a chain that keeps the length (between single-byte encodings, or to an East Asian one)
+  is reversible, so only whole words count and the original must occur in at least three
+  times as many rows as the garbled form, and in three or more.
+
+Statistics cover all rows.  Null, empty and ASCII texts hold no unit.  Repeated rows are
+judged alike; a null key stays a key; other columns are ignored.
+"""
+
+from __future__ import annotations
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from veilwork.functions.text import has_non_ascii
+from veilwork.sources.tables import spread, table
+
+# Names of encodings.
+UTF8_READ_AS = (
+    "cp1252", "latin_1", "iso8859_15", "cp1250", "cp1251", "cp1253", "cp1254", "cp1257", "iso8859_2", "iso8859_5",
+    "iso8859_7", "iso8859_9", "cp437", "cp850", "cp852", "cp866", "mac_roman", "mac_cyrillic", "koi8_r", "gbk", "big5",
+    "shift_jis", "euc_jp", "euc_kr",
+)
+READ_TWICE = ("cp1252", "latin_1", "cp850", "mac_roman")
+WRITTEN_AS = (
+    "cp1252", "iso8859_15", "cp1250", "cp1251", "koi8_r", "cp866", "iso8859_5", "cp1253", "iso8859_7", "mac_roman",
+    "mac_cyrillic", "cp437", "cp850", "shift_jis", "euc_jp", "gbk",
+)
+READ_AS = (
+    "cp1252", "latin_1", "cp1250", "cp1251", "koi8_r", "cp866", "cp1253", "mac_roman", "mac_cyrillic", "cp437", "cp850",
+    "gbk", "shift_jis", "utf_8",
+)
+
+_ASCII_BREAK = r"[\x00-/:-@\[-`{-\x7f]+"
+_BEYOND_ASCII = r"[^\x00-\x7f]+"
+
+
+def _read(raw: bytes, encoding: str) -> set[str]:
+    """What common decoders make of ``raw``: undefined bytes pass as controls, are replaced, or vanish."""
+    try:
+        return {raw.decode(encoding)}
+    except UnicodeDecodeError:
+        out = {raw.decode(encoding, "replace")}
+        if encoding != "utf_8":
+            out.add(raw.decode(encoding, "ignore"))
+            if encoding.startswith("cp125"):
+                out.add("".join(bytes((b,)).decode(encoding, "ignore") or chr(b) for b in raw))
+        return out
+
+
+def garbled_forms(unit: str) -> dict[str, str]:
+    """Garbled form to chain class: ``utf8`` or ``swap``."""
+    out: dict[str, str] = {}
+    raw = unit.encode("utf-8")
+    for encoding in UTF8_READ_AS:
+        once = _read(raw, encoding)
+        twice: set[str] = set()
+        if encoding in READ_TWICE:
+            for form in once:
+                for again in READ_TWICE:
+                    twice |= _read(form.encode("utf-8"), again)
+        for form in once | twice:
+            for variant in (form, form.lower(), form.upper(), form.strip("\xa0")):
+                if len(variant) > len(unit):
+                    out[variant] = "utf8"
+                else:
+                    out.setdefault(variant, "swap")
+    for source in WRITTEN_AS:
+        try:
+            raw = unit.encode(source)
+        except UnicodeEncodeError:
+            continue
+        for target in READ_AS:
+            if target != source:
+                for form in _read(raw, target):
+                    out.setdefault(form, "swap")
+    out.pop(unit, None)
+    return {g: c for g, c in out.items() if g and not g.isascii()}
+
+
+_FORMS = T.ArrayType(T.StructType([T.StructField("form", T.StringType()), T.StructField("chain", T.StringType())]))
+_FORMS_ARROW = pa.list_(pa.struct([("form", pa.string()), ("chain", pa.string())]))
+
+
+@F.arrow_udf(_FORMS)
+def _forms_udf(units: pa.Array) -> pa.Array:
+    return pa.array([[{"form": g, "chain": c} for g, c in garbled_forms(u).items()] for u in units.to_pylist()], _FORMS_ARROW)
+
+
+def _units(text: Column) -> Column:
+    """Distinct words (kind w) and runs (kind n) beyond ASCII of one text."""
+    words = F.filter(F.split(text, _ASCII_BREAK), has_non_ascii)
+    runs = F.regexp_extract_all(text, F.lit(_BEYOND_ASCII), 0)
+    tag = lambda kind: lambda u: F.struct(F.lit(kind).alias("kind"), u.alias("unit"))
+    return F.concat(
+        F.transform(F.array_distinct(words), tag("w")), F.transform(F.array_distinct(runs), tag("n"))
+    )
+
+
+def row_units(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(id, kind, unit): the units of each row; the text itself goes no further."""
+    text = F.col(column)
+    return (
+        df.where(has_non_ascii(text))
+        .select(F.col(key).alias("id"), F.explode(_units(text)).alias("u"))
+        .select("id", "u.kind", "u.unit")
+    )
+
+
+def _verified(kind: Column, form: Column, chain: Column, n_original: Column, n_form: Column) -> Column:
+    size = F.char_length(form)
+    mixed = form.rlike("[A-Za-z0-9]")
+    growth = F.when(kind == "n", size >= 2).otherwise((size >= 2) | mixed)
+    east_asian = form.rlike("[\u3000-\u9fff\uac00-\ud7a3\uff61-\uff9f]")
+    long_enough = (mixed & ((size >= 3) | ((size >= 2) & east_asian))) | (size >= 4)
+    swap = (kind == "w") & long_enough & (n_original >= 3) & (n_original >= 3 * n_form)
+    return form.contains("�") | F.when(chain == "utf8", growth).otherwise(swap)
+
+
+def garbled_dictionary(units: DataFrame) -> DataFrame:
+    """(kind, unit, original): the garbled units of a corpus; ``original`` is null where it cannot be told.
+
+    One row a distinct unit is shuffled for the counts, then the generated table meets
+    the distinct units in a hash join.
+    """
+    counts = units.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("n"))
+    table_ = (
+        spread(counts, "unit").select("kind", F.col("unit").alias("original"), F.col("n").alias("n_original"), F.explode(_forms_udf("unit")).alias("g"))
+        .select("kind", "original", "n_original", F.col("g.form").alias("form"), F.col("g.chain").alias("chain"))
+    )
+    seen = counts.select("kind", F.col("unit").alias("form"), F.col("n").alias("n_form"))
+    hits = table_.join(seen, ["kind", "form"]).where(
+        _verified(F.col("kind"), F.col("form"), F.col("chain"), F.col("n_original"), F.col("n_form"))
+        & (F.col("n_original") + F.when(F.col("chain") == "utf8", 10**12).otherwise(0) > F.col("n_form"))
+    )
+    lost = (F.col("kind") == "n") & F.col("form").contains("�")
+    ranked = F.struct("n_original", "original")
+    return (
+        hits.groupBy("kind", F.col("form").alias("unit"))
+        .agg(F.max(F.when(~lost, ranked)).alias("best"))
+        .select("kind", "unit", F.col("best.original").alias("original"))
+    )
+
+
+def find_garbled(df: DataFrame, key: str = "id", column: str = "text") -> DataFrame:
+    """(key) of the rows with at least one garbled stretch."""
+    units = row_units(df, key, column)
+    bad = garbled_dictionary(units).select("kind", "unit")
+    return units.join(bad, ["kind", "unit"], "left_semi").select(F.col("id").alias(key)).distinct()
+
+
+def restore(df: DataFrame, key: str = "id", column: str = "text") -> DataFrame:
+    """(key, text) of the found rows with every garbled unit of known original replaced."""
+    units = row_units(df, key, column)
+    bad = garbled_dictionary(units)
+    fixes = (
+        units.join(bad, ["kind", "unit"])
+        .groupBy("id")
+        .agg(
+            F.array_sort(
+                F.collect_list(
+                    F.struct((F.col("kind") != "w").alias("later"), (-F.char_length("unit")).alias("order"), "unit", "original")
+                )
+            ).alias("fixes")
+        )
+    )
+    text = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(column).alias("text"))
+    known = F.filter("fixes", lambda f: f["original"].isNotNull())
+    fixed = F.aggregate(known, F.col("text"), lambda t, f: F.replace(t, f["unit"], f["original"]))
+    return text.join(fixes, "id").select(F.col("id").alias(key), fixed.alias(column))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_garbled(table(spark, sf_dir, "test"))
+
+
+def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return restore(table(spark, sf_dir, "test"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored}
+ORACLE: dict[str, str] = {}
