@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,3 +26,12 @@ def has_non_ascii(text: Column) -> Column:
 def strip_space(text: Column) -> Column:
     """Remove leading and trailing Unicode white space; linear in the length of the text."""
     return F.regexp_replace(text, rf"\A[{SPACE_CLASS}]+|(?<![{SPACE_CLASS}])[{SPACE_CLASS}]+\z", "")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once.
+
+    An expression used inside a lambda is evaluated for every element, and the optimizer
+    may move a selected column into one; a lambda variable is bound once.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
