@@ -1,2 +1,181 @@
-QUERIES: dict = {}
-ORACLE: dict = {}
+"""Problem 7: passages of held-out items that reappear in corpus documents.
+
+Method: winnowing.  Items and documents become word sequences in one normal form (case,
+punctuation, spacing, line breaks, mark-up and page lines vanish; every redaction tag is
+one word).  Each k-gram of words is hashed and the minimum of every window of
+consecutive hashes is a fingerprint, so any shared stretch of k + window - 1 words
+shares one.  Fingerprints of documents and items are joined, and every hit is extended
+to both sides by banded alignment in which a matching word earns 1 and a changed, added
+or missing word costs 7: a stretch of balance 0 or more differs in at most one word of
+eight.  A document holds an item where a stretch covers 25 words of it or more.
+
+With k = 5 and window = 2 a stretch of 25 words with three changes always holds six
+unchanged words in a row, hence a shared fingerprint.
+
+An opening sentence that several items share is not part of them.  Null and empty
+documents or items match nothing.  Repeated ids yield one row a pair.
+"""
+
+from __future__ import annotations
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from veilwork.functions.text import let
+from veilwork.sources.tables import spread, table
+
+K = 5
+WINDOW = 2
+MIN_WORDS = 25
+ONE_IN = 8
+BAND = 6
+#: An item table above this many fingerprints is not broadcast but joined by shuffle.
+BROADCAST_FINGERPRINTS = 2_000_000
+
+# Forms that redaction tags, mark-up and page lines take.
+TAG = ""
+_TAGS = r"\[[\p{Lu}*_ -]{2,}\]|<(?!BR\b|P\b|DIV\b)[\p{Lu}_]{2,}>|\{\{?[\p{Lu}_]{2,}\}?\}|\[\*+[^\]\n]{0,40}\*+\]|\*{3,}|_{3,}|█+|\bX{3,}\b"
+_MARKUP = r"</?[A-Za-z][^<>\n]{0,200}>|\\[nrt]|&(?:[a-z]+|#[0-9]+);|(?i)(?<=[-–—=|*\[(]\s?)page\s+[0-9]+\s+(?:of|/)\s+[0-9]+(?=\s?[-–—=|*\])])"
+_HYPHENATED = r"(?<=\p{L})-\s*\n\s*(?=\p{Ll})|­|[​-‍⁠﻿]"
+_WORD_BREAK = "[^\\p{L}\\p{M}\\p{N}]+"
+
+
+def words(text: Column) -> Column:
+    """The normal form of a text as an array of words; JVM only."""
+    t = F.regexp_replace(text, _TAGS, f" {TAG} ")
+    t = F.regexp_replace(t, _MARKUP, " ")
+    t = F.regexp_replace(t, _HYPHENATED, "")
+    t = F.regexp_replace(t, "['’]", "")
+    return F.filter(F.split(F.lower(t), _WORD_BREAK), lambda w: w != "")
+
+
+def fingerprints(seq: Column, k: int = K, window: int = WINDOW) -> Column:
+    """Array of (h, pos): winnowed hashes of the k-grams of a word array."""
+
+    def of(seq: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(seq) - k + 1), lambda i: F.xxhash64(F.slice(seq, i, k)))
+        return let(grams, winnow)
+
+    def winnow(grams: Column) -> Column:
+        def lowest(i: Column) -> Column:
+            return let(F.slice(grams, i, window), lambda part: F.struct(F.array_min(part).alias("h"), (i - 2 + F.array_position(part, F.array_min(part)).cast("int")).alias("pos")))
+
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(grams) - window + 1, F.lit(1))), lowest))
+
+    return let(seq, lambda s: F.when(F.size(s) >= k, of(s)))
+
+
+def item_words(items: DataFrame, key: str = "item_id", column: str = "text") -> DataFrame:
+    """(item_id, words) without the opening sentences that several items share."""
+    base = items.where(F.col(column).isNotNull()).select(F.col(key).alias("item_id"), F.col(column).alias("text"))
+    opening = F.regexp_extract("text", r"\A\s*[^.!?:]*[.!?:]+(?=\s)", 0)
+    base = base.select("item_id", "text", opening.alias("opening"))
+    shared = (
+        base.where("opening <> ''").groupBy("opening").agg(F.countDistinct("item_id").alias("n")).where("n > 1").select("opening", F.lit(True).alias("shared"))
+    )
+    body = F.when(F.col("shared"), F.expr("substr(text, length(opening) + 1)")).otherwise(F.col("text"))
+    return base.join(shared, "opening", "left").select("item_id", words(body).alias("words"))
+
+
+def _side(doc: list[str], item: list[str], d: int, i: int, step: int) -> list[int]:
+    """best[n]: highest balance of aligning the next n item words from (d, i) in direction ``step``.
+
+    Banded alignment; it ends once the balance has fallen three changes below its best.
+    """
+    cost = ONE_IN - 1
+    end_d, end_i = (len(doc), len(item)) if step > 0 else (-1, -1)
+    best, top = [0], 0
+    row = {o: -cost * o for o in range(BAND + 1)}  # offset in document words minus item words -> balance
+    n = 0
+    while i + n * step != end_i and max(row.values()) >= top - 3 * cost:
+        word, new = item[i + n * step], {}
+        for o in range(-BAND, BAND + 1):
+            at = d + (n + o) * step
+            value = row.get(o + 1, -10**6) - cost  # item word left out
+            if o + n >= 0 and 0 <= at < len(doc):
+                value = max(value, row.get(o, -10**6) + (1 if doc[at] == word else -cost))
+                value = max(value, new.get(o - 1, -10**6) - cost)  # document word added
+            if value > top - 4 * cost:
+                new[o] = value
+        if not new:
+            break
+        row = new
+        n += 1
+        best.append(max(row.values()))
+        top = max(top, best[-1])
+    return best
+
+
+def extend(doc: list[str], item: list[str], d: int, i: int, k: int = K) -> tuple[int, int, int]:
+    """(first, last, d_last): item words [first, last) covered by the longest stretch around a seed."""
+    right = _side(doc, item, d + k, i + k, 1)
+    left = _side(doc, item, d - 1, i - 1, -1)
+    size, pick = 0, (0, 0)
+    for a, x in enumerate(left):
+        for b in range(len(right) - 1, -1, -1):
+            if a + b <= size:
+                break
+            if x + right[b] + k >= 0:
+                size, pick = a + b, (a, b)
+    return i - pick[0], i + k + pick[1], d + k + pick[1]
+
+
+def leaked_items(doc: list[str], hits: list[dict], item: dict[int, list[str]], least: int = MIN_WORDS) -> list[int]:
+    """Items of which ``doc`` holds a stretch of ``least`` words or more."""
+    out: set[int] = set()
+    seen: dict[int, list[tuple[int, int, int]]] = {}
+    for hit in sorted(hits, key=lambda h: (h["item_id"], h["pos"], h["item_pos"])):
+        key, d, i = hit["item_id"], hit["pos"], hit["item_pos"]
+        if key in out or doc[d : d + K] != item[key][i : i + K]:
+            continue
+        if any(a <= i < b and d <= e and abs((e - b) - (d - i)) <= BAND for a, b, e in seen.get(key, ())):
+            continue
+        a, b, e = extend(doc, item[key], d, i)
+        seen.setdefault(key, []).append((a, b, e))
+        if b - a >= least:
+            out.add(key)
+    return sorted(out)
+
+
+def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """(doc_id, item_id): each document with each item that leaked into it."""
+    base = docs.where(F.col(column).isNotNull()).select(F.col(key).alias("doc_id"), F.col(column).alias("text"))
+    marks = (
+        spread(base, "doc_id")
+        .select("doc_id", words(F.col("text")).alias("words"))
+        .select("doc_id", F.explode(fingerprints(F.col("words"))).alias("f"))
+        .select("doc_id", "f.h", "f.pos")
+    )
+    seqs = item_words(items)
+    own = seqs.select("item_id", F.explode(fingerprints(F.col("words"))).alias("f")).select(
+        "item_id", "f.h", F.col("f.pos").alias("item_pos")
+    )
+    # Held-out sets are fixed and small, but that is counted, not assumed.
+    if own.count() <= BROADCAST_FINGERPRINTS:
+        own = F.broadcast(own)
+    hits = marks.join(own, "h").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "pos", "item_pos")).alias("hits"))
+    sequences = {r.item_id: r.words for r in seqs.collect()}
+    shared = docs.sparkSession.sparkContext.broadcast(sequences)
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def check(text_words: pa.Array, found: pa.Array) -> pa.Array:
+        item = shared.value
+        return pa.array(
+            [leaked_items(w, h, item) for w, h in zip(text_words.to_pylist(), found.to_pylist())], pa.list_(pa.int64())
+        )
+
+    return (
+        base.join(hits, "doc_id")
+        .select("doc_id", F.explode(check(words(F.col("text")), F.col("hits"))).alias("item_id"))
+        .distinct()
+    )
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"p7_found": p7_found}
+ORACLE: dict[str, str] = {}
