@@ -13,13 +13,14 @@ from collections.abc import Callable
 
 import numpy as np
 
+#: Value of a positional feature; above 1 it is learnt before the many features of rare tokens.
+POSITION_VALUE = 3.0
 OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
-NEG = -1e4
 
 
 class SkipChainCRF:
-    def __init__(self, labels: list[str], type_features: Callable[[str], list[str]], allowed: np.ndarray):
-        self.labels, self.features, self.allowed = labels, type_features, allowed
+    def __init__(self, labels: list[str], type_features: Callable[[str], list[str]]):
+        self.labels, self.features = labels, type_features
         self.index: dict[tuple[int, str], int] = {}
         self.weights = np.zeros((0, len(labels)))
         self.position_index: dict[str, int] = {}
@@ -88,7 +89,7 @@ class SkipChainCRF:
                 table = np.vstack([add_to(pad, t, w[f]) if len(f) else np.zeros((pad, n_labels)), np.zeros((1, n_labels))])
                 emission += table[shifted[o]]
             if len(pos_f):
-                emission += add_to(n * width, pos_tok, pw[pos_f]).reshape(n, width, n_labels)
+                emission += POSITION_VALUE * add_to(n * width, pos_tok, pw[pos_f]).reshape(n, width, n_labels)
             post, trans, first = self._posterior(emission, mask, tr, st)
             diff = (post - onehot) / total
             flat = diff.reshape(-1, n_labels)
@@ -99,7 +100,7 @@ class SkipChainCRF:
                     by_type = add_to(pad + 1, shifted[o].ravel(), flat)
                     grads[0] += add_to(len(w), f, by_type[t])
             if len(pos_f):
-                grads[1] += add_to(len(pw), pos_f, flat[pos_tok])
+                grads[1] += POSITION_VALUE * add_to(len(pw), pos_f, flat[pos_tok])
             rate = 0.15 * (1 - 0.8 * step / rounds)
             for k, (p, g) in enumerate(zip(params, grads)):
                 g = g + l2 * p / 100
@@ -117,7 +118,7 @@ class SkipChainCRF:
         n, width, k = emission.shape
         shift = emission.max(2, keepdims=True)
         e = np.exp(emission - shift)
-        t = np.exp(np.clip(trans, -30, 30)) * self.allowed
+        t = np.exp(np.clip(trans, -30, 30))
         alpha, beta, scale = np.zeros((n, width, k)), np.ones((n, width, k)), np.ones((n, width))
         a = e[:, 0] * np.exp(start)
         scale[:, 0] = a.sum(1)
@@ -180,7 +181,7 @@ class SkipChainCRF:
         known = [(p, self.position_index[f]) for p, f in extra if f in self.position_index]
         if known:
             at, f = np.array(known).T
-            np.add.at(out, at, self.position_weights[f])
+            np.add.at(out, at, POSITION_VALUE * self.position_weights[f])
         return out
 
     def marginals(self, docs: list[tuple[np.ndarray, list[tuple[int, int]]]], kinds: np.ndarray, rounds: int = 3) -> list[np.ndarray]:
@@ -237,7 +238,7 @@ class SkipChainCRF:
             e[r, : len(x)], mask[r, : len(x)] = x, True
         n, width, k = e.shape
         e = np.exp(e - e.max(2, keepdims=True))
-        t = np.exp(np.clip(self.trans, -30, 30)) * self.allowed
+        t = np.exp(np.clip(self.trans, -30, 30))
         alpha, beta = np.empty_like(e), np.ones_like(e)
         a = e[:, 0] * np.exp(self.start)
         alpha[:, 0] = a / a.sum(1, keepdims=True)

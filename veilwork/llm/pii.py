@@ -2,7 +2,7 @@
 
 Method: a skip-chain conditional random field (see ``crf``).  Texts are folded to one
 stored form (full width, odd spaces, look-alike letters), cut into tokens and labelled
-B/I by kind.  Patterns (something shaped like a phone number, a mail address and so on)
+by kind.  Patterns (something shaped like a phone number, a mail address and so on)
 are features of the tokens, not decisions.  Repeated or similar tokens of a document
 are linked, and loopy message passing makes their labels agree.  A short exact check
 follows: a mail address needs an at sign or its spelling, a phone number enough digits,
@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +35,12 @@ from veilwork.sources.tables import spread, table
 
 #: Most labelled rows that the model is trained on.
 SAMPLE = 1500
+#: Least marginal probability of a token to belong to an entity.
+THRESHOLD = 0.12
 KINDS = ("NAME", "EMAIL", "PHONE", "ID_NUMBER", "ADDRESS")
 _CLASSES = (*KINDS, "DATE")
-LABELS = ["O", *(f"{p}-{k}" for k in _CLASSES for p in "BI")]
-_KIND_OF = np.array([0, *(i + 1 for i in range(len(_CLASSES)) for _ in "BI")])
+LABELS = ["O", *_CLASSES]
+_KIND_OF = np.arange(len(LABELS))
 
 # Cue words of the languages served, by what they announce.
 CUES = {
@@ -83,6 +84,11 @@ Identity confirmed by {ID_NUMBER|900-12-3456}. Claim filed under SSN {ID_NUMBER|
 Lives at {ADDRESS|12 Elm Street}. Moved from {ADDRESS|401B Harbour Road, Westford KT} last spring. Post: {ADDRESS|Flat 2, 77 Mill Lane, Westford, KT 00123}
 Wohnhaft {ADDRESS|Gartenweg 12b, 00123 Neustadt}. Domicile : {ADDRESS|14 rue du Moulin, 00123 Valmont}. Domicilio: {ADDRESS|Calle Mayor 12, 2.º B, 00123 Villanueva}
 Home address: {ADDRESS|9 Oak Ct, Apt 4B, Westford, KT 00123} Anschrift: {ADDRESS|Am Bach 3, 00123 Altdorf}
+Deliver it to {ADDRESS|31 Station Road, Westford} please. Keys kept by the neighbour, {ADDRESS|8 old mill drive, westford}.
+Found on the steps of {ADDRESS|210 Fourth Ave}. Discharged to {ADDRESS|55A Church Terrace, Upper Westford KT} with support. Retour prévu au {ADDRESS|Flat 3, 9 Park Court, Westford}.
+Domicilio: {ADDRESS|Avda. de la Estación 5, 3.º izq., 00123 Villanueva} Alta a {ADDRESS|C/ Olivo 7, 00123 Villanueva}. Entlassung nach {ADDRESS|Bahnhofstraße 9, 00123 Altdorf}.
+Thank you for sending {NAME|karl auer} to our clinic. {NAME|A. O'Hallow} lives alone. Spoke with the daughter, {NAME|Elena}, on the ward. {NAME|J. de Auer}: "no, thanks".
+Catalogue no. 555-10-1200 gauze, 10 x 10. Paid by cheque, form 1234-B, room 2204, extension cord replaced.
 Seen on {DATE|03/04/2023} and again on {DATE|11-05-2024}. Result dated {DATE|1/2/2022}: 14.2, previously 13.
 Batch F123456 of insulin recalled, ticket INC123456, form L123-456-78. Order 12345678 released, accession A-123456-12.
 Pump serial 123456789012. Ref range 9-123456 per ml, specimen 1234567890, tube 12-34. Sheet K1234567. Printout B1234567.
@@ -96,8 +102,10 @@ Earlier copy: [REDACTED] seen with [REDACTED] at the desk. Drops in the eyes, Wa
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+|[^\w\s]|_")
 _AT = r"(?:@|[(\[]\s?at\s?[)\]]|\bAT\b|\bat\b)"
 _DOT = r"(?:\.|[(\[]\s?dot\s?[)\]]|\s(?:DOT|dot)\s)"
+#: Spelled so that nothing but a mail address fits.
+_MAIL = re.compile(rf"[\w.+%-]+(?:\s?@\s?[\w-]+(?:\.[\w-]+)+|\s?[(\[]\s?at\s?[)\]]\s?[\w-]+(?:{_DOT}[\w-]+)+|\s(?:AT|at)\s[\w-]+(?:\s(?:DOT|dot)\s[\w-]+)+)")
 PATTERNS = {
-    "rx:email": re.compile(rf"[\w.+%-]+\s?{_AT}\s?[\w-]+(?:\s?{_DOT}\s?[\w-]+)+"),
+    "rx:email": _MAIL,
     "rx:date": re.compile(r"(?<![\d/-])\d{1,2}[-/.]\d{1,2}[-/.](?:\d{4}|\d{2})(?![\d/-])|(?<!\d)\d{4}-\d{2}-\d{2}(?!\d)"),
     "rx:phone": re.compile(
         r"(?<![\w.-])(?:\+\d{1,3}[ .-]?)?(?:\(0?\d{1,5}\)[ .-]?)?\d{1,5}(?:[ ./-]\d{2,6}){1,5}(?: ?(?:ext|x)\.? ?\d{1,5})?(?![\w-])"
@@ -120,6 +128,7 @@ PATTERNS = {
     "rx:zip": re.compile(r"\b[A-Z]{2} 0\d{4}\b|\b0\d{4} [^\W\d_]{4,}"),
     "rx:tag": re.compile(r"\[REDACTED\]"),
 }
+_WIDTHLESS = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff\u0300-\u036f]")
 _DIGITS = re.compile(r"\d")
 
 
@@ -159,11 +168,6 @@ def _shape(token: str) -> str:
     return "'" if "'" in token or "’" in token else token
 
 
-@lru_cache(4)
-def _name_lists(key: tuple[frozenset, frozenset]) -> tuple[frozenset, frozenset]:
-    return key
-
-
 class TypeFeatures:
     """Features of a token type; ``first`` and ``last`` are known names, folded to lower case."""
 
@@ -291,10 +295,8 @@ def align(expected: str, text: str) -> list[tuple[int, int, str]] | None:
 def _labels(toks, starts, ends, spans) -> list[int]:
     y = [0] * len(toks)
     for a, b, kind in spans:
-        first = True
         for k in range(bisect_left(starts, a), bisect_left(starts, b)):
-            y[k] = LABELS.index(f"{'B' if first else 'I'}-{kind}")
-            first = False
+            y[k] = LABELS.index(kind)
     return y
 
 
@@ -326,18 +328,7 @@ def _seed_examples() -> list:
     return out
 
 
-def _allowed() -> np.ndarray:
-    n = len(LABELS)
-    out = np.ones((n, n))
-    for j, to in enumerate(LABELS):
-        if to[0] == "I":
-            for i, frm in enumerate(LABELS):
-                if frm == "O" or frm[2:] != to[2:]:
-                    out[i, j] = 0
-    return out
-
-
-def train(pairs: list[tuple[str, str]], first: set[str], last: set[str], rounds: int = 120) -> SkipChainCRF:
+def train(pairs: list[tuple[str, str]], first: set[str], last: set[str], rounds: int = 60, l2: float = 1e-3) -> SkipChainCRF:
     """Fit the model on (expected, text) pairs and the annotated sentences."""
     examples, held = _seed_examples(), []
     for n, (expected, text) in enumerate(pairs):
@@ -347,8 +338,8 @@ def train(pairs: list[tuple[str, str]], first: set[str], last: set[str], rounds:
         if (spans := align(a, b)) is None:
             continue
         (held if n % 8 == 7 else examples).extend(_example(b, spans) if n % 8 != 7 else [(b, spans)])
-    model = SkipChainCRF(LABELS, TypeFeatures(frozenset(first), frozenset(last)), _allowed())
-    model.fit(examples, rounds)
+    model = SkipChainCRF(LABELS, TypeFeatures(frozenset(first), frozenset(last)))
+    model.fit(examples, rounds, l2)
     model.compact()
     if len(held) >= 8:
         best = max((_agreement(model, held, w), -w, w) for w in (0.5, 1.0, 2.0))
@@ -364,7 +355,7 @@ def _agreement(model: SkipChainCRF, held, weight: float) -> float:
         if not toks:
             continue
         gold = _KIND_OF[np.array(_labels(toks, starts, ends, spans))]
-        got = _KIND_OF[p.argmax(1)]
+        got = _KIND_OF[decide(p)]
         tp += int(((gold == got) & (gold > 0)).sum())
         fp += int(((gold != got) & (got > 0)).sum())
         fn += int(((gold != got) & (gold > 0)).sum())
@@ -382,11 +373,18 @@ def label_texts(model: SkipChainCRF, folded: list[str]):
     return [(*part, p) for part, p in zip(parts, model.marginals(docs, _KIND_OF))]
 
 
+def decide(p: np.ndarray) -> np.ndarray:
+    """Label of each token: a miss costs more than a false alarm, so an entity needs ``THRESHOLD`` only."""
+    best = p[:, 1:].argmax(1) + 1
+    return np.where(1 - p[:, 0] >= THRESHOLD, best, 0)
+
+
 def entities(text: str, toks, starts, ends, p: np.ndarray) -> list[tuple[int, int, str]]:
     """Checked spans (start, end, kind) in the folded text."""
     if not toks:
         return []
-    best = p.argmax(1)
+    best = decide(p)
+    mails = None
     out, k = [], 0
     while k < len(best):
         kind = _KIND_OF[best[k]]
@@ -394,9 +392,17 @@ def entities(text: str, toks, starts, ends, p: np.ndarray) -> list[tuple[int, in
             k += 1
             continue
         j = k + 1
-        while j < len(best) and _KIND_OF[best[j]] == kind and LABELS[best[j]][0] == "I":
+        while j < len(best) and _KIND_OF[best[j]] == kind:
             j += 1
         name, a, b = _CLASSES[kind - 1], starts[k], ends[j - 1]
+        if name in ("NAME", "EMAIL") and mails is None:
+            mails = [(m.start(), m.end()) for m in _MAIL.finditer(text)]
+        for x, y in mails or ():
+            if name in ("NAME", "EMAIL") and a < y and x < b:  # a name inside a mail address is none
+                name, a, b = "EMAIL", min(a, x) if name == "EMAIL" else x, max(b, y) if name == "EMAIL" else y
+                while j < len(best) and starts[j] < b:
+                    j += 1
+                break
         if name in KINDS and _plausible(name, text[a:b]):
             out.append((a, b, name))
         k = j
@@ -406,7 +412,7 @@ def entities(text: str, toks, starts, ends, p: np.ndarray) -> list[tuple[int, in
 def _plausible(kind: str, stretch: str) -> bool:
     digits = sum(c.isdigit() for c in stretch)
     if kind == "EMAIL":
-        return re.search(_AT, stretch) is not None
+        return "@" in stretch or _MAIL.search(stretch) is not None
     if kind == "PHONE":
         return digits >= 7
     if kind == "ID_NUMBER":
@@ -454,8 +460,9 @@ def _entity_udf(shared, masked: bool):
                 raw, back, pieces, done = part[n], maps[n][1], [], 0
                 for a, b, kind in spans:
                     pieces += [raw[done : back[a]], f"[{kind}]"]
-                    done = back[b - 1] + 1 if back[b] > back[b - 1] else back[b]
-                    done = max(done, back[b]) if b < len(text) and text[b : b + 1] and back[b] - done < 3 and not raw[done : back[b]].strip("­​‌‍⁠﻿") else done
+                    done = back[b - 1] + 1
+                    while done < back[b] and _WIDTHLESS.match(raw, done):
+                        done += 1
                 out.append("".join([*pieces, raw[done:]]))
         return pa.array(out, pa.string() if masked else pa.list_(pa.string()))
 
