@@ -35,3 +35,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     may move a selected column into one; a lambda variable is bound once.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def let2(a: Column, b: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """As ``let`` for two values.  A Python function may stand in a value, never in a body."""
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda p: body(p["a"], p["b"]))
