@@ -4,26 +4,36 @@ Method: winnowing.  Items and documents become word sequences in one normal form
 punctuation, spacing, line breaks, mark-up and page lines vanish; every redaction tag is
 one word).  Each k-gram of words is hashed and the minimum of every window of
 consecutive hashes is a fingerprint, so any shared stretch of k + window - 1 words
-shares one.  Fingerprints of documents and items are joined, and every hit is extended
-to both sides by banded alignment in which a matching word earns 1 and a changed, added
-or missing word costs 7: a stretch of balance 0 or more differs in at most one word of
-eight.  A document holds an item where a stretch covers 25 words of it or more.
+shares one.  Fingerprints of documents are joined with those of the items, and every hit
+is extended to both sides by banded alignment in which a matching word earns 1 and a
+changed, added or missing word costs 7: a stretch of balance 0 or more differs in at
+most one word of eight.  A document holds an item where a stretch covers 25 words of it
+or more.
 
 With k = 5 and window = 2 a stretch of 25 words with three changes always holds six
 unchanged words in a row, hence a shared fingerprint.
 
+The item side of the join is an index of sorted hashes that is broadcast.  Its size is
+counted: a held-out set beyond ``INDEX_FINGERPRINTS`` is cut into blocks of items, each
+joined with all documents in turn.  Documents are never shuffled; only found pairs are.
+
 An opening sentence that several items share is not part of them.  Null and empty
 documents or items match nothing.  Repeated ids yield one row a pair.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from functools import reduce
+
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilwork.functions.text import let
 from veilwork.sources.tables import spread, table
 
 K = 5
@@ -31,52 +41,116 @@ WINDOW = 2
 MIN_WORDS = 25
 ONE_IN = 8
 BAND = 6
-#: An item table above this many fingerprints is not broadcast but joined by shuffle.
-BROADCAST_FINGERPRINTS = 2_000_000
+#: Most fingerprints of one broadcast index (24 bytes each).
+INDEX_FINGERPRINTS = 1_000_000
 
 # Forms that redaction tags, mark-up and page lines take.
-TAG = ""
-_TAGS = r"\[[\p{Lu}*_ -]{2,}\]|<(?!BR\b|P\b|DIV\b)[\p{Lu}_]{2,}>|\{\{?[\p{Lu}_]{2,}\}?\}|\[\*+[^\]\n]{0,40}\*+\]|\*{3,}|_{3,}|█+|\bX{3,}\b"
-_MARKUP = r"</?[A-Za-z][^<>\n]{0,200}>|\\[nrt]|&(?:[a-z]+|#[0-9]+);|(?i)(?<=[-–—=|*\[(]\s?)page\s+[0-9]+\s+(?:of|/)\s+[0-9]+(?=\s?[-–—=|*\])])"
-_HYPHENATED = r"(?<=\p{L})-\s*\n\s*(?=\p{Ll})|­|[​-‍⁠﻿]"
-_WORD_BREAK = "[^\\p{L}\\p{M}\\p{N}]+"
-
-
-def words(text: Column) -> Column:
-    """The normal form of a text as an array of words; JVM only."""
-    t = F.regexp_replace(text, _TAGS, f" {TAG} ")
-    t = F.regexp_replace(t, _MARKUP, " ")
-    t = F.regexp_replace(t, _HYPHENATED, "")
-    t = F.regexp_replace(t, "['’]", "")
-    return F.filter(F.split(F.lower(t), _WORD_BREAK), lambda w: w != "")
-
-
-def fingerprints(seq: Column, k: int = K, window: int = WINDOW) -> Column:
-    """Array of (h, pos): winnowed hashes of the k-grams of a word array."""
-
-    def of(seq: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.size(seq) - k + 1), lambda i: F.xxhash64(F.slice(seq, i, k)))
-        return let(grams, winnow)
-
-    def winnow(grams: Column) -> Column:
-        def lowest(i: Column) -> Column:
-            return let(F.slice(grams, i, window), lambda part: F.struct(F.array_min(part).alias("h"), (i - 2 + F.array_position(part, F.array_min(part)).cast("int")).alias("pos")))
-
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(grams) - window + 1, F.lit(1))), lowest))
-
-    return let(seq, lambda s: F.when(F.size(s) >= k, of(s)))
-
-
-def item_words(items: DataFrame, key: str = "item_id", column: str = "text") -> DataFrame:
-    """(item_id, words) without the opening sentences that several items share."""
-    base = items.where(F.col(column).isNotNull()).select(F.col(key).alias("item_id"), F.col(column).alias("text"))
-    opening = F.regexp_extract("text", r"\A\s*[^.!?:]*[.!?:]+(?=\s)", 0)
-    base = base.select("item_id", "text", opening.alias("opening"))
-    shared = (
-        base.where("opening <> ''").groupBy("opening").agg(F.countDistinct("item_id").alias("n")).where("n > 1").select("opening", F.lit(True).alias("shared"))
-    )
-    body = F.when(F.col("shared"), F.expr("substr(text, length(opening) + 1)")).otherwise(F.col("text"))
-    return base.join(shared, "opening", "left").select("item_id", words(body).alias("words"))
+TAG = "zzredactedzz"
+_TAGS = re.compile(
+    r"\[[A-Z*_ -]{2,}\]|<(?!BR\b|P\b|DIV\b)[A-Z_]{2,}>|\{\{?[A-Z_]{2,}\}?\}|\[\*+[^\]\n]{0,40}\*+\]|\*{3,}|_{3,}|█+|\bX{3,}\b"
+)
+_MARKUP = re.compile(r"</?[A-Za-z][^<>\n]{0,200}>|\\[nrt]|&(?:[a-z]+|#[0-9]+);")
+_PAGE = re.compile(r"(?i)[-–—=|*\[(]+\s?page\s+[0-9]+\s+(?:of|/)\s+[0-9]+\s?[-–—=|*\])]+")
+_HYPHENATED = re.compile("(?<=[^\\W\\d_])-\\s*\\n\\s*(?=[^\\W\\d_])|[­​-‍⁠﻿]")
+_WORD = re.compile(r"[^\W_]+")
+
+
+def words(text: str) -> list[str]:
+    """The normal form of a text; the dearer passes run only where a character calls for them."""
+    t = text if text.isascii() else unicodedata.normalize("NFC", text)
+    if "[" in t or "<" in t or "{" in t or "***" in t or "___" in t or "XXX" in t or "█" in t:
+        t = _TAGS.sub(f" {TAG} ", t)
+    if "<" in t or "\\" in t or "&" in t:
+        t = _MARKUP.sub(" ", t)
+    if "age " in t or "AGE " in t:
+        t = _PAGE.sub(" ", t)
+    if "-\n" in t or "- \n" in t or "-\r" in t or not t.isascii():
+        t = _HYPHENATED.sub("", t)
+    return _WORD.findall(t.replace("'", "").replace("’", "").lower())
+
+
+class _Hashes(dict):
+    """64-bit hash of a word, kept for the words of a worker."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+_HASH = _Hashes()
+_BASE = [pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) for j in range(64)]
+
+
+def fingerprints(seq: list[str], k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, positions): the winnowed k-grams of a word sequence."""
+    n = len(seq) - k + 1
+    if n < 1:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    ids = np.fromiter(map(_HASH.__getitem__, seq), np.uint64, len(seq))
+    grams = np.zeros(n, np.uint64)
+    for j in range(k):
+        grams += ids[j : j + n] * np.uint64(_BASE[j])
+    grams ^= grams >> np.uint64(29)
+    grams *= np.uint64(0xBF58476D1CE4E5B9)
+    if n < window:
+        at = np.array([int(grams.argmin())])
+    elif window == 2:
+        keep = np.zeros(n, bool)
+        first = grams[:-1] < grams[1:]
+        keep[:-1] |= first
+        keep[1:] |= ~first
+        at = np.flatnonzero(keep)
+    else:
+        at = np.unique(np.lib.stride_tricks.sliding_window_view(grams, window).argmin(1) + np.arange(n - window + 1))
+    return grams[at], at
+
+
+class ItemIndex:
+    """Sorted fingerprints of items, with the places where each occurs."""
+
+    def __init__(self, items: list[tuple[int, list[str]]]):
+        self.items = dict(items)
+        hashes, places = [], []
+        for key, seq in items:
+            h, at = fingerprints(seq)
+            hashes.append(h)
+            places += [(key, int(p)) for p in at]
+        flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        order = np.argsort(flat, kind="stable")
+        self.hashes = flat[order]
+        self.places = [places[i] for i in order]
+
+    def hits(self, seq: list[str]) -> list[tuple[int, int, int]]:
+        """(item, position in the document, position in the item) of every shared fingerprint."""
+        h, at = fingerprints(seq)
+        if not len(h) or not len(self.hashes):
+            return []
+        lo = np.searchsorted(self.hashes, h)
+        found = np.flatnonzero(self.hashes[np.minimum(lo, len(self.hashes) - 1)] == h)
+        out = []
+        for f in found:
+            j = int(lo[f])
+            while j < len(self.hashes) and self.hashes[j] == h[f]:
+                key, p = self.places[j]
+                out.append((key, int(at[f]), p))
+                j += 1
+        return out
+
+
+def opening(text: str) -> str:
+    m = re.match(r"\s*[^.!?:]*[.!?:]+(?=\s)", text)
+    return m.group() if m else ""
+
+
+def item_words(rows: list[tuple[int, str]]) -> list[tuple[int, list[str]]]:
+    """(item, words) without the opening sentences that several items share."""
+    users: dict[str, set[int]] = {}
+    for key, text in rows:
+        users.setdefault(opening(text), set()).add(key)
+    cut = lambda t: t[len(o) :] if (o := opening(t)) and len(users[o]) > 1 else t
+    return [(key, words(cut(text))) for key, text in rows]
 
 
 def _side(doc: list[str], item: list[str], d: int, i: int, step: int) -> list[int]:
@@ -85,18 +159,18 @@ def _side(doc: list[str], item: list[str], d: int, i: int, step: int) -> list[in
     Banded alignment; it ends once the balance has fallen three changes below its best.
     """
     cost = ONE_IN - 1
-    end_d, end_i = (len(doc), len(item)) if step > 0 else (-1, -1)
-    best, top = [0], 0
-    row = {o: -cost * o for o in range(BAND + 1)}  # offset in document words minus item words -> balance
+    end_i = len(item) if step > 0 else -1
+    best, top, none = [0], 0, -(10**6)
+    row = {o: -cost * o for o in range(BAND + 1)}  # document words minus item words -> balance
     n = 0
     while i + n * step != end_i and max(row.values()) >= top - 3 * cost:
         word, new = item[i + n * step], {}
         for o in range(-BAND, BAND + 1):
             at = d + (n + o) * step
-            value = row.get(o + 1, -10**6) - cost  # item word left out
+            value = row.get(o + 1, none) - cost  # item word left out
             if o + n >= 0 and 0 <= at < len(doc):
-                value = max(value, row.get(o, -10**6) + (1 if doc[at] == word else -cost))
-                value = max(value, new.get(o - 1, -10**6) - cost)  # document word added
+                value = max(value, row.get(o, none) + (1 if doc[at] == word else -cost))
+                value = max(value, new.get(o - 1, none) - cost)  # document word added
             if value > top - 4 * cost:
                 new[o] = value
         if not new:
@@ -122,55 +196,63 @@ def extend(doc: list[str], item: list[str], d: int, i: int, k: int = K) -> tuple
     return i - pick[0], i + k + pick[1], d + k + pick[1]
 
 
-def leaked_items(doc: list[str], hits: list[dict], item: dict[int, list[str]], least: int = MIN_WORDS) -> list[int]:
+def _promising(doc: list[str], item: list[str], d: int, i: int, least: int) -> bool:
+    """False only where no stretch through the seed can reach ``least`` words.
+
+    Such a stretch covers ``least`` words of the item near the seed; the alignment stands
+    at most five changes a side there, so all but ten of them stand near it in the document.
+    """
+    near = set(doc[max(0, d - least - BAND) : d + least + K + BAND])
+    return sum(w in near for w in item[max(0, i + K - least) : i + least]) >= least - 10
+
+
+def leaked_items(doc: list[str], index: ItemIndex, least: int = MIN_WORDS) -> list[int]:
     """Items of which ``doc`` holds a stretch of ``least`` words or more."""
     out: set[int] = set()
     seen: dict[int, list[tuple[int, int, int]]] = {}
-    for hit in sorted(hits, key=lambda h: (h["item_id"], h["pos"], h["item_pos"])):
-        key, d, i = hit["item_id"], hit["pos"], hit["item_pos"]
-        if key in out or doc[d : d + K] != item[key][i : i + K]:
+    for key, d, i in index.hits(doc):
+        item = index.items[key]
+        if key in out or not _promising(doc, item, d, i, least) or doc[d : d + K] != item[i : i + K]:
             continue
         if any(a <= i < b and d <= e and abs((e - b) - (d - i)) <= BAND for a, b, e in seen.get(key, ())):
             continue
-        a, b, e = extend(doc, item[key], d, i)
+        a, b, e = extend(doc, item, d, i)
         seen.setdefault(key, []).append((a, b, e))
         if b - a >= least:
             out.add(key)
     return sorted(out)
 
 
+def _blocks(items: list[tuple[int, list[str]]]) -> list[list[tuple[int, list[str]]]]:
+    out, size = [[]], 0
+    for key, seq in items:
+        if out[-1] and size + len(seq) > INDEX_FINGERPRINTS:
+            out.append([])
+            size = 0
+        out[-1].append((key, seq))
+        size += len(seq)
+    return out
+
+
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """(doc_id, item_id): each document with each item that leaked into it."""
+    rows = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").orderBy("item_id", "text").collect()
     base = docs.where(F.col(column).isNotNull()).select(F.col(key).alias("doc_id"), F.col(column).alias("text"))
-    marks = (
-        spread(base, "doc_id")
-        .select("doc_id", words(F.col("text")).alias("words"))
-        .select("doc_id", F.explode(fingerprints(F.col("words"))).alias("f"))
-        .select("doc_id", "f.h", "f.pos")
-    )
-    seqs = item_words(items)
-    own = seqs.select("item_id", F.explode(fingerprints(F.col("words"))).alias("f")).select(
-        "item_id", "f.h", F.col("f.pos").alias("item_pos")
-    )
-    # Held-out sets are fixed and small, but that is counted, not assumed.
-    if own.count() <= BROADCAST_FINGERPRINTS:
-        own = F.broadcast(own)
-    hits = marks.join(own, "h").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "pos", "item_pos")).alias("hits"))
-    sequences = {r.item_id: r.words for r in seqs.collect()}
-    shared = docs.sparkSession.sparkContext.broadcast(sequences)
-
-    @F.arrow_udf(T.ArrayType(T.LongType()))
-    def check(text_words: pa.Array, found: pa.Array) -> pa.Array:
-        item = shared.value
-        return pa.array(
-            [leaked_items(w, h, item) for w, h in zip(text_words.to_pylist(), found.to_pylist())], pa.list_(pa.int64())
-        )
-
-    return (
-        base.join(hits, "doc_id")
-        .select("doc_id", F.explode(check(words(F.col("text")), F.col("hits"))).alias("item_id"))
-        .distinct()
-    )
+    base = spread(base, "doc_id")
+    sc = docs.sparkSession.sparkContext
+
+    def against(block: list[tuple[int, list[str]]]) -> DataFrame:
+        shared = sc.broadcast(ItemIndex(block))
+
+        @F.arrow_udf(T.ArrayType(T.LongType()))
+        def check(texts: pa.Array) -> pa.Array:
+            index = shared.value
+            return pa.array([leaked_items(words(t), index) for t in texts.to_pylist()], pa.list_(pa.int64()))
+
+        return base.select(F.col("doc_id").alias(key), F.explode(check("text")).alias("item_id"))
+
+    blocks = _blocks(item_words([(r.item_id, r.text) for r in rows]))
+    return reduce(DataFrame.unionByName, map(against, blocks)).distinct()
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
