@@ -40,7 +40,7 @@ def names_of(df: DataFrame, column: str = "names") -> DataFrame:
     return df.where(F.col(column).isNotNull()).select(F.explode(lists).alias("name")).where("name IS NOT NULL").distinct()
 
 
-def read_names(spark: SparkSession, path: str) -> set[str]:
+def read_names(path: str) -> set[str]:
     """Names of a JSON file with ``men``, ``women`` and ``last``; a missing or broken file is an empty set."""
     try:
         with open(path, encoding="utf-8") as f:
