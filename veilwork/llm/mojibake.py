@@ -23,11 +23,14 @@ judged alike; a null key stays a key; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from veilwork.functions.durable import durable
 from veilwork.functions.text import has_non_ascii
 from veilwork.sources.tables import spread, table
 
@@ -94,13 +97,36 @@ def garbled_forms(unit: str) -> dict[str, str]:
     return {g: c for g, c in out.items() if g and not g.isascii()}
 
 
-_FORMS = T.ArrayType(T.StructType([T.StructField("form", T.StringType()), T.StructField("chain", T.StringType())]))
-_FORMS_ARROW = pa.list_(pa.struct([("form", pa.string()), ("chain", pa.string())]))
+_FORM_ROWS = "kind string, original string, n_original long, h long, chain string"
+_STEP = 256
+
+
+def _form_rows(inventory):
+    """Map distinct units to their garbled forms, a few units at a time; a form travels as a hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = inventory.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, _STEP):
+                rows: tuple[list, ...] = ([], [], [], [], [])
+                part = batch.slice(at, _STEP).to_pydict()
+                for kind, unit, n in zip(part["kind"], part["unit"], part["n"]):
+                    for form, chain in garbled_forms(unit).items():
+                        if known.issuperset(form):
+                            for column, value in zip(rows, (kind, unit, n, form_hash(form), chain)):
+                                column.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(rows, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()))],
+                    names=["kind", "original", "n_original", "h", "chain"],
+                )
+
+    return run
 
 
-@F.arrow_udf(_FORMS)
-def _forms_udf(units: pa.Array) -> pa.Array:
-    return pa.array([[{"form": g, "chain": c} for g, c in garbled_forms(u).items()] for u in units.to_pylist()], _FORMS_ARROW)
+def form_hash(form: str) -> int:
+    """The value of Spark's ``xxhash64`` (seed 42) for a string."""
+    h = xxhash.xxh64_intdigest(form.encode(), 42)
+    return h - (1 << 64) if h >= 1 << 63 else h
 
 
 def _units(text: Column) -> Column:
@@ -136,18 +162,19 @@ def _verified(kind: Column, form: Column, chain: Column, n_original: Column, n_f
 def garbled_dictionary(units: DataFrame) -> DataFrame:
     """(kind, unit, original): the garbled units of a corpus; ``original`` is null where it cannot be told.
 
-    One row a distinct unit is shuffled for the counts, then the generated table meets
-    the distinct units in a hash join.
+    One row a distinct unit is shuffled for the counts, then the generated table, as
+    64-bit hashes and without forms that use a character the corpus lacks, meets the
+    distinct units in a hash join.
     """
-    counts = units.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("n"))
-    table_ = (
-        spread(counts, "unit").select("kind", F.col("unit").alias("original"), F.col("n").alias("n_original"), F.explode(_forms_udf("unit")).alias("g"))
-        .select("kind", "original", "n_original", F.col("g.form").alias("form"), F.col("g.chain").alias("chain"))
-    )
-    seen = counts.select("kind", F.col("unit").alias("form"), F.col("n").alias("n_form"))
-    hits = table_.join(seen, ["kind", "form"]).where(
+    counts = durable(units.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("n")))
+    # Every character that occurs; there are no more than Unicode has.
+    rows = counts.select(F.explode(F.array_distinct(F.split("unit", ""))).alias("c")).distinct().collect()
+    inventory = frozenset(r.c for r in rows) | frozenset(map(chr, range(128)))
+    shared = counts.sparkSession.sparkContext.broadcast(inventory)
+    table_ = spread(counts, "unit").mapInArrow(_form_rows(shared), _FORM_ROWS)
+    seen = counts.select("kind", F.col("unit").alias("form"), F.xxhash64("unit").alias("h"), F.col("n").alias("n_form"))
+    hits = table_.join(seen, ["kind", "h"]).where(
         _verified(F.col("kind"), F.col("form"), F.col("chain"), F.col("n_original"), F.col("n_form"))
-        & (F.col("n_original") + F.when(F.col("chain") == "utf8", 10**12).otherwise(0) > F.col("n_form"))
     )
     lost = (F.col("kind") == "n") & F.col("form").contains("�")
     ranked = F.struct("n_original", "original")
