@@ -78,8 +78,8 @@ def _single(cp: int) -> str | None:
 
 
 @lru_cache(1)
-def _tables() -> tuple[dict[int, str], re.Pattern, re.Pattern]:
-    """Replacements of single characters; the quick-check pattern; the word pattern.
+def _tables() -> tuple[dict[int, str], re.Pattern, re.Pattern, re.Pattern]:
+    """Replacements of single characters; patterns of a segment, a word and an unstable character.
 
     Built by rule from the Unicode database over all code points.
     """
@@ -112,7 +112,10 @@ def _tables() -> tuple[dict[int, str], re.Pattern, re.Pattern]:
     either = body(sorted(unstable + marks))
     # One character of context, then the unstable run with the marks that follow it.
     segment = re.compile(f"(?s:.)?[{either}]+")
-    return single, segment, re.compile(r"[^\W\d_](?:[^\W\d_]|[\u0300-\u036f])*")
+    return single, segment, re.compile(r"[^\W\d_](?:[^\W\d_]|[\u0300-\u036f])*"), re.compile(f"[{either}]")
+
+
+_OTHER_SCRIPT = re.compile("[\u0370-\u03ff\u0400-\u052f\u1f00-\u1fff]")
 
 
 def _script(word: str) -> str | None:
@@ -157,7 +160,9 @@ def canonical(text: str) -> str:
     """The canonical form of one text."""
     if text.isascii():
         return text
-    single, segment, words = _tables()
+    single, segment, words, unstable = _tables()
+    if unstable.search(text) is None:
+        return text
 
     def one(m: re.Match) -> str:
         part = unicodedata.normalize("NFD", m.group().translate(single)).translate(_TO_LATIN)
@@ -169,7 +174,7 @@ def canonical(text: str) -> str:
     # A removed character may have stood between a base and the mark spliced after it.
     if not unicodedata.is_normalized("NFC", out):
         out = unicodedata.normalize("NFC", out)
-    return words.sub(_word, out)
+    return words.sub(_word, out) if _OTHER_SCRIPT.search(out) else out
 
 
 @F.arrow_udf(T.StringType())
