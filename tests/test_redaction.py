@@ -246,3 +246,14 @@ def test_plan_has_no_shuffle(spark):
     df = spark.range(10, numPartitions=1).selectExpr("id", "'x' AS text")
     plan = redact(df, "text", RedactConfig(normalize=False))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_sized_join(spark, monkeypatch):
+    from veilwork.functions import join
+
+    left = spark.createDataFrame([(n, "hot" if n % 3 else f"k{n}") for n in range(60)], "n int, k string")
+    right = spark.createDataFrame([("hot", 1), ("k3", 2)], "k string, v int")
+    want = sorted(tuple(r) for r in join.sized_join(left, right, ["k"]).collect())
+    monkeypatch.setattr(join, "BROADCAST_ROWS", 0)
+    assert sorted(tuple(r) for r in join.sized_join(left, right, ["k"]).collect()) == want
+    assert join.sized_join(left, right, ["k"], "left_semi").count() == len(want) == 41
