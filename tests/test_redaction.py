@@ -257,3 +257,16 @@ def test_sized_join(spark, monkeypatch):
     monkeypatch.setattr(join, "BROADCAST_ROWS", 0)
     assert sorted(tuple(r) for r in join.sized_join(left, right, ["k"]).collect()) == want
     assert join.sized_join(left, right, ["k"], "left_semi").count() == len(want) == 41
+
+
+def test_compare(spark, tmp_path):
+    from veilwork.operators.benchmark import compare
+    from veilwork.operators.maskers import ModelMasker
+
+    notes = spark.createDataFrame([(1, "Call 555-123-4567"), (2, "John Doe"), (3, None)], "id int, text string")
+    expected = spark.createDataFrame([(1, "Call [REDACTED]"), (2, "[REDACTED]")], "id int, text string")
+    configs = {"All Rules": RedactConfig(), "Phones": RedactConfig(types=("PHONE",)), "Model": RedactConfig(maskers=(ModelMasker("none"),))}
+    results, text = compare(spark, notes, expected, configs, str(tmp_path))
+    rows = {r.name: r for r in results.collect()}
+    assert rows["All Rules"].exact_matches == 2 and rows["Phones"].correctness_score == 50.0 and not rows["Model"].success
+    assert "Best by accuracy: All Rules" in text and "| Model | failed" in text

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from veilwork.functions.durable import durable
 from veilwork.functions.spans import tag_count
 from veilwork.functions.text import strip_space
 
@@ -52,17 +53,22 @@ RANKED_BY = {"speed": "texts_per_second", "accuracy": "correctness_score", "f1":
 def rankings(results: DataFrame, order: str = "run_id") -> DataFrame:
     """(metric, rank, run_id, name, value) of the successful runs, four descending rankings.
 
-    Ties keep the order of ``order``; missing values come last.  The ranking runs over one
-    window a metric, for results are a few rows a benchmark; runs stored twice are one.
+    Ties keep the order of ``order``; missing values come last; a repeated run counts once.
+    There are four metrics for any number of runs, so no window by metric: the rows are
+    sorted by range, and a rank is the place in its partition plus the rows of the metric
+    in earlier ones, a table of (partition, metric) counts.
     """
-    ok = results.where("success").dropDuplicates(["run_id"])
+    ok = results.where("success").dropDuplicates([order])
     ok = ok.withColumn("balanced", F.col("texts_per_second") * F.col("correctness_score") / 100)
-    long = ok.select(
-        order, "name",
-        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value")) for m, c in RANKED_BY.items()])).alias("x"),
-    ).select(order, "name", "x.metric", "x.value")
-    w = Window.partitionBy("metric").orderBy(F.desc_nulls_last("value"), order)
-    return long.withColumn("rank", F.row_number().over(w))
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value")) for m, c in RANKED_BY.items()])
+    long = ok.select(order, "name", F.explode(values).alias("x")).select(order, "name", "x.metric", "x.value")
+    placed = durable(long.orderBy("metric", F.desc_nulls_last("value"), order)).withColumn("_at", F.monotonically_increasing_id())
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    parts = placed.groupBy("_part", "metric").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy("metric").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    ranked = placed.join(parts, ["_part", "metric"])
+    return ranked.select(order, "name", "metric", "value", (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias("rank"))
 
 
 def best(results: DataFrame, order: str = "run_id") -> DataFrame:

@@ -19,6 +19,7 @@ from veilwork.sources.tables import spread, table
 
 #: Most names that are put into a plan as a literal list.
 NAMES_IN_PLAN = 10_000
+MASK_SETS = 50
 
 
 def _notes(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -112,7 +113,9 @@ def mask_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = _listed(spark, sf_dir).select("id", S.merged(F.col("spans")).alias("spans"))
     notes = table(spark, sf_dir, "test").where("text IS NOT NULL").select("id", "text").join(spans, "id")
     # One small array of all dictionaries beside every row, not a join on nothing.
-    known = [(r.mask_set, r.masks) for r in sets.orderBy("mask_set").limit(100).collect()]
+    known = [(r.mask_set, r.masks) for r in sets.orderBy("mask_set").limit(MASK_SETS + 1).collect()]
+    if len(known) > MASK_SETS:
+        raise ValueError(f"more than {MASK_SETS} mask dictionaries; mask with one at a time")
     rows = F.array(*[
         F.struct(F.lit(n).alias("mask_set"), S.masked(F.col("text"), F.col("spans"), custom=F.create_map(*[F.lit(x) for kv in (m or {}).items() for x in kv]) if m else None).alias("masked"))
         for n, m in known
