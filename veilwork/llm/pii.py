@@ -385,6 +385,7 @@ def entities(text: str, toks, starts, ends, p: np.ndarray) -> list[tuple[int, in
         return []
     best = decide(p)
     mails = None
+    whole: dict[str, list[tuple[int, int]]] = {}
     out, k = [], 0
     while k < len(best):
         kind = _KIND_OF[best[k]]
@@ -403,12 +404,39 @@ def entities(text: str, toks, starts, ends, p: np.ndarray) -> list[tuple[int, in
                 while j < len(best) and starts[j] < b:
                     j += 1
                 break
-        if name in KINDS and _plausible(name, text[a:b]):
+        for x, y in _grown(text, name, whole):
+            if a < y and x < b:  # a number is masked as a whole
+                a, b = min(a, x), max(b, y)
+                while j < len(best) and starts[j] < b:
+                    j += 1
+                tokens = slice(bisect_left(starts, a), j)
+                name = LABELS[int(p[tokens, 1:].sum(0).argmax()) + 1]
+                break
+        if name in KINDS and _plausible(name, text[a:b]) and not (name != "EMAIL" and _in_blob(text, a)):
             out.append((a, b, name))
         k = j
     return out
 
 
+_WHOLE = {"PHONE": ("rx:nanp", "rx:phone"), "ID_NUMBER": ("rx:ssn",)}
+
+
+def _grown(text: str, kind: str, kept: dict[str, list[tuple[int, int]]]) -> list[tuple[int, int]]:
+    """Stretches that stand or fall as one number, looked up once a text."""
+    if kind not in kept:
+        found = [m for p in _WHOLE.get(kind, ()) for m in PATTERNS[p].finditer(text)]
+        kept[kind] = [m.span() for m in found if kind != "PHONE" or 9 <= sum(c.isdigit() for c in m.group()) <= 16]
+    return kept[kind]
+
+
+def _in_blob(text: str, at: int) -> bool:
+    """Inside an unbroken stretch of more than 40 characters, as encoded data has them."""
+    part = text[max(0, at - 40) : at + 41]
+    left = re.search(r"\S*\Z", part[: min(at, 40)])
+    right = re.match(r"\S*", part[min(at, 40) :])
+    return len(left.group()) + len(right.group()) > 40
+
+
 def _plausible(kind: str, stretch: str) -> bool:
     digits = sum(c.isdigit() for c in stretch)
     if kind == "EMAIL":
