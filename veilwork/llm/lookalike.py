@@ -20,7 +20,6 @@ Null stays null, empty stays empty; repeated rows are kept; other columns pass t
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from functools import lru_cache
 
@@ -81,14 +80,14 @@ def _single(cp: int) -> str | None:
 def _tables() -> tuple[dict[int, str], re.Pattern, re.Pattern, re.Pattern]:
     """Replacements of single characters; patterns of a segment, a word and an unstable character.
 
-    Built by rule from the Unicode database over all code points.
+    Built by rule from the Unicode database.
     """
     single: dict[int, str] = {}
     unstable: list[int] = []
     marks: list[int] = []
-    for cp in range(0x80, sys.maxunicode + 1):
-        if 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xDFFF or 0xE000 <= cp <= 0xF8FF or cp >= 0xF0000:
-            continue
+    # Ideographs, syllables, surrogates and private use are stable by block.
+    blocks = ((0x80, 0x3400), (0xA000, 0xAC00), (0xD7B0, 0xD800), (0xF900, 0x20000), (0x2F800, 0x2FA20), (0xE0000, 0xE1000))
+    for cp in (c for a, b in blocks for c in range(a, b)):
         ch = chr(cp)
         if (to := _single(cp)) is not None and to != ch:
             single[cp] = to
