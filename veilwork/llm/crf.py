@@ -15,6 +15,8 @@ import numpy as np
 
 #: Value of a positional feature; above 1 it is learnt before the many features of rare tokens.
 POSITION_VALUE = 3.0
+#: Tokens of a block and of its context on either side; steps between rescalings.
+BLOCK, CONTEXT, RESCALE = 160, 48, 6
 OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
 
 
@@ -213,45 +215,60 @@ class SkipChainCRF:
                 np.add.at(field, ends[:, 0], np.log(new[:, 0]))
                 np.add.at(field, ends[:, 1], np.log(new[:, 1]))
                 fields.append(field)
-            for i, p in zip(linked, self._chains(fields)):
+            for i, p in zip(linked, self._chains(fields, [out[i] for i in linked], [links_of[i] for i in linked])):
                 out[i] = p
         return out
 
-    def _chains(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
-        """Forward-backward over chains of any lengths, batched by similar length."""
-        out: list[np.ndarray] = [np.zeros((0, len(self.labels)))] * len(emissions)
-        order = sorted((i for i in range(len(emissions)) if len(emissions[i])), key=lambda i: len(emissions[i]))
+    def _chains(self, emissions: list[np.ndarray], before: list[np.ndarray] | None = None, touched: list[np.ndarray] | None = None) -> list[np.ndarray]:
+        """Forward-backward over chains of any length, in blocks that are batched by length.
+
+        A block is computed with ``CONTEXT`` tokens on either side, beyond which a chain has
+        forgotten its ends.  With ``before`` and ``touched`` only blocks near the touched
+        tokens are computed anew.
+        """
+        out = [np.zeros(e.shape) for e in emissions] if before is None else before
+        blocks = []
+        for i, e in enumerate(emissions):
+            for a in range(0, len(e), BLOCK):
+                b = min(a + BLOCK, len(e))
+                lo, hi = max(0, a - CONTEXT), min(len(e), b + CONTEXT)
+                if touched is None or ((touched[i] >= lo) & (touched[i] < hi)).any():
+                    blocks.append((hi - lo, i, a, b, lo, hi))
+        blocks.sort(key=lambda x: x[0])
         at = 0
-        while at < len(order):
-            most = 1.3 * len(emissions[order[at]]) + 16
-            take = [i for i in order[at : at + 256] if len(emissions[i]) <= most]
+        while at < len(blocks):
+            most = 1.25 * blocks[at][0] + 16
+            take = [x for x in blocks[at : at + 512] if x[0] <= most]
             at += len(take)
-            for i, p in zip(take, self._batch([emissions[i] for i in take])):
-                out[i] = p
+            parts = self._batch([emissions[i][lo:hi] for _, i, _, _, lo, hi in take], np.array([lo == 0 for *_, lo, _ in take]))
+            for (_, i, a, b, lo, _), p in zip(take, parts):
+                out[i][a:b] = p[a - lo : b - lo]
         return out
 
-    def _batch(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
+    def _batch(self, emissions: list[np.ndarray], at_start: np.ndarray) -> list[np.ndarray]:
         width = max(map(len, emissions))
-        e = np.zeros((len(emissions), width, len(self.labels)))
-        mask = np.zeros((len(emissions), width), bool)
+        n, k = len(emissions), len(self.labels)
+        e, mask = np.zeros((width, n, k)), np.zeros((width, n, 1), bool)
         for r, x in enumerate(emissions):
-            e[r, : len(x)], mask[r, : len(x)] = x, True
-        n, width, k = e.shape
+            e[: len(x), r], mask[: len(x), r] = x, True
         e = np.exp(e - e.max(2, keepdims=True))
         t = np.exp(np.clip(self.trans, -30, 30))
         alpha, beta = np.empty_like(e), np.ones_like(e)
-        a = e[:, 0] * np.exp(self.start)
-        alpha[:, 0] = a / a.sum(1, keepdims=True)
+        alpha[0] = e[0] * np.exp(np.where(at_start[:, None], self.start, 0.0))
         for i in range(1, width):
-            a = (alpha[:, i - 1] @ t) * e[:, i]
-            alpha[:, i] = a / np.maximum(a.sum(1, keepdims=True), 1e-300)
+            np.matmul(alpha[i - 1], t, out=alpha[i])
+            alpha[i] *= e[i]
+            if i % RESCALE == 0:
+                alpha[i] /= np.maximum(alpha[i].sum(1, keepdims=True), 1e-300)
+        back, ragged = t.T.copy(), not mask.all()
         for i in range(width - 2, -1, -1):
-            b = (e[:, i + 1] * beta[:, i + 1]) @ t.T
-            b /= np.maximum(b.sum(1, keepdims=True), 1e-300)
-            beta[:, i] = np.where(mask[:, i + 1, None], b, 1.0)
+            b = (e[i + 1] * beta[i + 1]) @ back
+            if i % RESCALE == 0:
+                b /= np.maximum(b.sum(1, keepdims=True), 1e-300)
+            beta[i] = np.where(mask[i + 1], b, 1.0) if ragged else b
         post = alpha * beta
         post /= np.maximum(post.sum(2, keepdims=True), 1e-300)
-        return [post[r, : len(x)] for r, x in enumerate(emissions)]
+        return [post[: len(x), r] for r, x in enumerate(emissions)]
 
 
 def offset_has(offset: int, feature: str) -> bool:
