@@ -104,6 +104,14 @@ _AT = r"(?:@|[(\[]\s?at\s?[)\]]|\bAT\b|\bat\b)"
 _DOT = r"(?:\.|[(\[]\s?dot\s?[)\]]|\s(?:DOT|dot)\s)"
 #: Spelled so that nothing but a mail address fits.
 _MAIL = re.compile(rf"[\w.+%-]+(?:\s?@\s?[\w-]+(?:\.[\w-]+)+|\s?[(\[]\s?at\s?[)\]]\s?[\w-]+(?:{_DOT}[\w-]+)+|\s(?:AT|at)\s[\w-]+(?:\s(?:DOT|dot)\s[\w-]+)+)")
+# Street and house number by language, each behind stretches of which one must occur in the lower-case text.
+_HOUSES = {
+    " st;road; rd; ave; lane; ln; dr; cl; c;place; pl; way;boulevard;blvd; ter; hill; sq":
+        r"\b\d{1,4}[A-Za-z]? (?:[^\W\d_][\w'’.]*\s){1,4}?(?i:street|st|road|rd|avenue|ave|lane|ln|drive|dr|close|court|ct|place|pl|way|blvd|boulevard|terrace|ter|hill|square|crescent)\b",
+    " rue ; avenue ; allée ; chemin ; boulevard ; place ; impasse ; quai ": r"\b\d{1,4}(?: bis)?,? (?i:rue|avenue|allée|chemin|boulevard|place|impasse|quai) [^\W\d_][\w'’ -]{2,30}",
+    "calle;c/;avenida;avda;plaza;paseo;camino": r"(?i:calle|c/|avenida|avda\.?|plaza|paseo|camino) ?[^\n,\d]{2,30} \d{1,4}",
+    "straße ;strasse ;str. ;gasse ;weg ;platz ;allee ;damm ;ring ;ufer ;am ;an der ;im ;auf dem ": r"[^\W\d_]+(?i:straße|strasse|str\.|gasse|weg|platz|allee|damm|ring|ufer) \d{1,4}[a-z]?\b|\b(?:Am|An der|Im|Auf dem) [^\W\d_]+ \d{1,4}[a-z]?\b",
+}
 PATTERNS = {
     "rx:email": _MAIL,
     "rx:date": re.compile(r"(?<![\d/-])\d{1,2}[-/.]\d{1,2}[-/.](?:\d{4}|\d{2})(?![\d/-])|(?<!\d)\d{4}-\d{2}-\d{2}(?!\d)"),
@@ -119,15 +127,11 @@ PATTERNS = {
     "rx:thing": re.compile(
         r"(?i)\b(?:order|lot|batch|serial|specimen|form|sheet|printout|ticket|accession|tube|model|room|range|page|formular|ausdruck)\b[\s:#]{0,2}[A-Z]{0,3}-?\d[\d-]*"
     ),
-    "rx:house": re.compile(
-        r"\b\d{1,4}[A-Za-z]? (?:[^\W\d_][\w'’.]*\s){1,4}?(?i:street|st|road|rd|avenue|ave|lane|ln|drive|dr|close|court|ct|place|pl|way|blvd|boulevard|terrace|ter|hill|square|crescent)\b"
-        r"|\b\d{1,4}(?: bis)?,? (?i:rue|avenue|allée|chemin|boulevard|place|impasse|quai) [^\W\d_][\w'’ -]{2,30}"
-        r"|(?i:calle|c/|avenida|avda\.?|plaza|paseo|camino) ?[^\n,\d]{2,30} \d{1,4}"
-        r"|[^\W\d_]+(?i:straße|strasse|str\.|gasse|weg|platz|allee|damm|ring|ufer) \d{1,4}[a-z]?\b|\b(?:Am|An der|Im|Auf dem) [^\W\d_]+ \d{1,4}[a-z]?\b"
-    ),
+    "rx:house": re.compile("|".join(_HOUSES.values())),
     "rx:zip": re.compile(r"\b[A-Z]{2} 0\d{4}\b|\b0\d{4} [^\W\d_]{4,}"),
     "rx:tag": re.compile(r"\[REDACTED\]"),
 }
+_HOUSE_GATED = [(tuple(gate.split(";")), re.compile(pattern)) for gate, pattern in _HOUSES.items()]
 _WIDTHLESS = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff\u0300-\u036f]")
 _DIGITS = re.compile(r"\d")
 
@@ -199,9 +203,12 @@ def positional(text: str, toks: list[str], starts: list[int], ends: list[int]) -
     """(token position, feature): patterns, line starts, sentence starts, glued neighbours."""
     out: list[tuple[int, str]] = []
     digits = _DIGITS.search(text) is not None
-    for name, pattern in PATTERNS.items():
+    low = text.lower() if digits else ""
+    searches = [x for x in PATTERNS.items() if x[0] != "rx:house"]
+    searches += [("rx:house", p) for gate, p in _HOUSE_GATED if digits and any(map(low.__contains__, gate))]
+    for name, pattern in searches:
         if name == "rx:email":
-            if "@" not in text and " AT " not in text and " at " not in text and "at)" not in text and "at]" not in text:
+            if "@" not in text and "at)" not in text and "at]" not in text and " DOT " not in text and " dot " not in text:
                 continue
         elif name == "rx:tag":
             if "[REDACTED]" not in text:
