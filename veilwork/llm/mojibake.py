@@ -31,7 +31,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilwork.functions.durable import durable
+from veilwork.functions.join import sized_join
 from veilwork.functions.text import has_non_ascii
+from veilwork.llm.lookalike import CYRILLIC, GREEK
 from veilwork.sources.tables import spread, table
 
 # Names of encodings.
@@ -67,8 +69,12 @@ def _read(raw: bytes, encoding: str) -> set[str]:
         return out
 
 
-def garbled_forms(unit: str) -> dict[str, str]:
-    """Garbled form to chain class: ``utf8`` or ``swap``."""
+def garbled_forms(unit: str, known: frozenset[str] | None = None, swaps: bool = True) -> dict[str, str]:
+    """Garbled form to chain class: ``utf8`` or ``swap``.
+
+    ``known``: the characters of the corpus; other forms cannot occur.  ``swaps`` False
+    leaves out reversible chains, of which a unit in fewer than three rows is no original.
+    """
     out: dict[str, str] = {}
     raw = unit.encode("utf-8")
     for encoding in UTF8_READ_AS:
@@ -79,17 +85,19 @@ def garbled_forms(unit: str) -> dict[str, str]:
                 for again in READ_TWICE:
                     twice |= _read(form.encode("utf-8"), again)
         for form in once | twice:
+            if known is not None and not known.issuperset(form):
+                continue
             for variant in (form, form.lower(), form.upper(), form.strip("\xa0")):
                 if len(variant) > len(unit):
                     out[variant] = "utf8"
-                else:
+                elif swaps or "\ufffd" in variant:
                     out.setdefault(variant, "swap")
     for source in WRITTEN_AS:
         try:
             raw = unit.encode(source)
         except UnicodeEncodeError:
             continue
-        for target in READ_AS:
+        for target in READ_AS if swaps else ("utf_8",):
             if target != source:
                 for form in _read(raw, target):
                     out.setdefault(form, "swap")
@@ -111,7 +119,7 @@ def _form_rows(inventory):
                 rows: tuple[list, ...] = ([], [], [], [], [])
                 part = batch.slice(at, _STEP).to_pydict()
                 for kind, unit, n in zip(part["kind"], part["unit"], part["n"]):
-                    for form, chain in garbled_forms(unit).items():
+                    for form, chain in garbled_forms(unit, known, n >= 3).items():
                         if known.issuperset(form):
                             for column, value in zip(rows, (kind, unit, n, form_hash(form), chain)):
                                 column.append(value)
@@ -152,7 +160,9 @@ def row_units(df: DataFrame, key: str, column: str) -> DataFrame:
 def _verified(kind: Column, form: Column, chain: Column, n_original: Column, n_form: Column) -> Column:
     size = F.char_length(form)
     mixed = form.rlike("[A-Za-z0-9]")
-    growth = F.when(kind == "n", size >= 2).otherwise((size >= 2) | mixed)
+    # Runs of look-alike letters and odd spaces are disguised ASCII, not garbled text.
+    disguise = (size <= 3) & form.rlike(f"\\A[{CYRILLIC}{GREEK}\\p{{Z}}]+\\z")
+    growth = F.when(kind == "n", (size >= 2) & ~disguise).otherwise(((size >= 2) | mixed) & ~disguise)
     east_asian = form.rlike("[\u3000-\u9fff\uac00-\ud7a3\uff61-\uff9f]")
     long_enough = (mixed & ((size >= 3) | ((size >= 2) & east_asian))) | (size >= 4)
     swap = (kind == "w") & long_enough & (n_original >= 3) & (n_original >= 3 * n_form)
@@ -189,7 +199,7 @@ def find_garbled(df: DataFrame, key: str = "id", column: str = "text") -> DataFr
     """(key) of the rows with at least one garbled stretch."""
     units = row_units(df, key, column)
     bad = garbled_dictionary(units).select("kind", "unit")
-    return units.join(bad, ["kind", "unit"], "left_semi").select(F.col("id").alias(key)).distinct()
+    return sized_join(units, durable(bad), ["kind", "unit"], "left_semi").select(F.col("id").alias(key)).distinct()
 
 
 def restore(df: DataFrame, key: str = "id", column: str = "text") -> DataFrame:
@@ -197,7 +207,7 @@ def restore(df: DataFrame, key: str = "id", column: str = "text") -> DataFrame:
     units = row_units(df, key, column)
     bad = garbled_dictionary(units)
     fixes = (
-        units.join(bad, ["kind", "unit"])
+        sized_join(units, durable(bad), ["kind", "unit"])
         .groupBy("id")
         .agg(
             F.array_sort(
