@@ -24,6 +24,7 @@ judged alike; a null key stays a key; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -56,6 +57,12 @@ _ASCII_BREAK = r"[\x00-/:-@\[-`{-\x7f]+"
 _BEYOND_ASCII = r"[^\x00-\x7f]+"
 
 
+@lru_cache(None)
+def _passing(encoding: str) -> dict[int, str]:
+    """A single-byte decoder that lets undefined bytes pass as controls, as a table over Latin-1."""
+    return {b: bytes((b,)).decode(encoding, "ignore") or chr(b) for b in range(256)}
+
+
 def _read(raw: bytes, encoding: str) -> set[str]:
     """What common decoders make of ``raw``: undefined bytes pass as controls, are replaced, or vanish."""
     try:
@@ -65,7 +72,7 @@ def _read(raw: bytes, encoding: str) -> set[str]:
         if encoding != "utf_8":
             out.add(raw.decode(encoding, "ignore"))
             if encoding.startswith("cp125"):
-                out.add("".join(bytes((b,)).decode(encoding, "ignore") or chr(b) for b in raw))
+                out.add(raw.decode("latin_1").translate(_passing(encoding)))
         return out
 
 
@@ -87,7 +94,8 @@ def garbled_forms(unit: str, known: frozenset[str] | None = None, swaps: bool =
         for form in once | twice:
             if known is not None and not known.issuperset(form):
                 continue
-            for variant in (form, form.lower(), form.upper(), form.strip("\xa0")):
+            # Re-casing and trimming happen to texts that were misread once.
+            for variant in (form, form.lower(), form.upper(), form.strip("\xa0")) if form in once else (form,):
                 if len(variant) > len(unit):
                     out[variant] = "utf8"
                 elif swaps or "\ufffd" in variant:
