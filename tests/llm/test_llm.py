@@ -308,3 +308,7 @@ def test_subpackage_is_not_imported_by_the_rest():
     for path in root.rglob("*.py"):
         if "llm" not in path.parts:
             assert not re.search(r"veilwork\.llm|from \.+llm|import llm", path.read_text()), path
+
+
+def test_latin_letters_inside_words_of_another_script():
+    assert lookalike.canonical("oΩ") == lookalike.canonical("οΩ") == "οΩ"

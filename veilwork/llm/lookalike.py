@@ -161,7 +161,7 @@ def canonical(text: str) -> str:
         return text
     single, segment, words, unstable = _tables()
     if unstable.search(text) is None:
-        return text
+        return words.sub(_word, text) if _OTHER_SCRIPT.search(text) else text
 
     def one(m: re.Match) -> str:
         part = unicodedata.normalize("NFD", m.group().translate(single)).translate(_TO_LATIN)
