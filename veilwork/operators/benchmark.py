@@ -29,7 +29,7 @@ def run_configuration(notes: DataFrame, expected: DataFrame, run_id: int, name:
         took = time.perf_counter() - ready
         texts = notes.count()
         if out:
-            result["output_file"] = f"{out}/test_deid_{name.lower().replace(' ', '_')}.csv"
+            result["output_file"] = f"{out}/redacted_{name.lower().replace(' ', '_')}.csv"
             write_csv(redacted, result["output_file"])
         m = scoring.score(scoring.paired(redacted, expected, key)).first()
         rate = texts / took if took > 0 else 0.0
