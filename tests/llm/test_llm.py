@@ -295,6 +295,16 @@ def test_abuse(spark):
     assert abuse.score_documents(df.limit(0), shared).collect() == []
 
 
+def test_abuse_in_short_sentences():
+    model = abuse.train([("The patient walked twenty metres and was well. Bloods were taken in the morning.", 0)] * 5)
+    lost = ["Fuck you!", "You idiot!", "Arschloch!", "f u c k y o u", "blöde Fotze", "ti ammazzo", "死ね、クズ", "お前は馬鹿だ", "殺してやる", "去死吧，你这个白痴", "死ね", "Bloods were taken. Fuck you. All well."]
+    assert [t for t in lost if model.score(t) < model.threshold] == []
+    for t in ("Tel.", "No pain.", "All well.", "Mrs. Fox.", "Danke.", "患者は元気です。熱はない。", "..", "m"):
+        assert model.score(t) < model.threshold, t
+    seeds = abuse._seed_windows()
+    assert all(s in seeds for t in ("死ね、クズ", "殺してやる", "操你妈，婊子", "ti ammazzo") for s in abuse.sentences(t)) and "死ね" in model.toxic.decode()
+
+
 def test_abuse_respelling():
     assert abuse.respelled("you m o r o n s") == "you morons" and abuse.respelled("asssshole") == "asshole"
     assert abuse.normal_text("B1TCH in 2024") == "bitch in 0"
