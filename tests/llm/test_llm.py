@@ -305,6 +305,18 @@ def test_abuse_in_short_sentences():
     assert all(s in seeds for t in ("死ね、クズ", "殺してやる", "操你妈，婊子", "ti ammazzo") for s in abuse.sentences(t)) and "死ね" in model.toxic.decode()
 
 
+def test_abuse_inside_long_sentences():
+    model = abuse.train([("The patient walked twenty metres and was well. Bloods were taken in the morning.", 0)] * 5)
+    around = "the patient walked twenty metres and was well and then "
+    for insult in ("you are a stupid idiot and everyone knows it", "shut up you scumbag", "fuck you", "halt die fresse, du arschloch"):
+        for t in (f"{around}{insult} and bloods were taken in the morning", f"{around * 9}{insult} {around * 9}", f'He told the nurse on the ward "{insult}" and then asked for water.'):
+            assert model.score(t) >= model.threshold, t
+    for n in (1, 3, 20):
+        assert model.score(around * n) < model.threshold
+    text = " ".join(f"w{n}" for n in range(60))
+    assert set(" ".join(abuse.parts(text)).split()) == set(text.split()) and abuse.parts("x" * 100)
+
+
 def test_abuse_respelling():
     assert abuse.respelled("you m o r o n s") == "you morons" and abuse.respelled("asssshole") == "asshole"
     assert abuse.normal_text("B1TCH in 2024") == "bitch in 0"
