@@ -116,6 +116,21 @@ def test_crf_marginals_against_brute_force():
     assert np.allclose(linked.sum(1), 1) and not np.allclose(linked, got[0])
 
 
+def test_long_runs_are_encoded_data_only_by_content():
+    import base64
+    import hashlib
+
+    for text, part in (
+        ("Name=John-Smith;Tel=555-555-0142;MRN=4412345", "John"), ("Name=John-Smith;Tel=555-555-0142;MRN=4412345", "555"),
+        ("https://clinic.example/find?name=JohnSmith&tel=555-555-0142&mrn=4412345", "555"), ("/patients/JohnSmith/MaryJones/PeterHallow/NoraQuell/", "Mary"),
+        ("患者の名前は山田太郎で電話番号は0312345678です。" * 3, "0312345678"),
+    ):
+        assert not pii._in_blob(text, text.index(part)), text
+    data = hashlib.sha512(b"x").digest()
+    for blob in (base64.b64encode(data).decode(), data.hex(), "1234567890" * 5):
+        assert all(pii._in_blob(f"see {blob} here", 4 + at) for at in range(0, len(blob), 5))
+
+
 # ---- 3: look-alikes ----------------------------------------------------------------------
 
 SAME = [

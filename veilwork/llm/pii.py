@@ -436,12 +436,17 @@ def _grown(text: str, kind: str, kept: dict[str, list[tuple[int, int]]]) -> list
     return kept[kind]
 
 
+_ENCODED_LEFT = re.compile(r"[A-Za-z0-9+/_-]*\Z")
+_ENCODED_RIGHT = re.compile(r"[A-Za-z0-9+/_-]*")
+_TURN = re.compile(r"(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+
+
 def _in_blob(text: str, at: int) -> bool:
-    """Inside an unbroken stretch of more than 40 characters, as encoded data has them."""
-    part = text[max(0, at - 40) : at + 41]
-    left = re.search(r"\S*\Z", part[: min(at, 40)])
-    right = re.match(r"\S*", part[min(at, 40) :])
-    return len(left.group()) + len(right.group()) > 40
+    """Inside encoded data: more than 40 characters of the base64 or hex alphabet that mix letters, cases and digits as
+    only encodings do, or a number longer than any.  Separators of fields and other scripts end such a run."""
+    left = _ENCODED_LEFT.search(text[max(0, at - 80) : at]).group()
+    run = left + _ENCODED_RIGHT.match(text[at : at + 81]).group()
+    return len(run) > 40 and (run.isdigit() or len(_TURN.findall(run)) >= 0.22 * len(run))
 
 
 def _plausible(kind: str, stretch: str) -> bool:
