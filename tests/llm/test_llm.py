@@ -260,6 +260,18 @@ def test_leaks(spark):
     assert leakage.leaks(d.limit(0), i).collect() == [] and leakage.leaks(d, i.limit(0)).collect() == []
 
 
+def test_tags_of_any_case_are_one_word():
+    for tag in ("[REDACTED]", "[redacted]", "[Redacted]", "[Name]", "[PERSON_1]", "[person_1]", "[Patient Name]"):
+        assert leakage.words(f"seen by {tag} today") == ["seen", "by", leakage.TAG, "today"], tag
+    for plain in ("see [1] today", "[12] and", "level [4.5 mg]", "- [x] done"):
+        assert leakage.TAG not in leakage.words(plain), plain
+    item = _passage(5, 30)
+    for k in (3, 9, 15, 21):
+        item[k] = "[REDACTED]"
+    index = leakage.ItemIndex([(1, leakage.words(" ".join(item)))])
+    assert leakage.leaked_items(leakage.words(" ".join(item).lower()), index) == [1]
+
+
 def test_item_blocks(spark, monkeypatch):
     monkeypatch.setattr(leakage, "INDEX_FINGERPRINTS", 50)
     item = [(n, " ".join(_passage(n, 40))) for n in range(5)]

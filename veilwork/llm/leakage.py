@@ -47,7 +47,7 @@ INDEX_FINGERPRINTS = 1_000_000
 # Forms that redaction tags, mark-up and page lines take.
 TAG = "zzredactedzz"
 _TAGS = re.compile(
-    r"\[[A-Z*_ -]{2,}\]|<(?!BR\b|P\b|DIV\b)[A-Z_]{2,}>|\{\{?[A-Z_]{2,}\}?\}|\[\*+[^\]\n]{0,40}\*+\]|\*{3,}|_{3,}|█+|\bX{3,}\b"
+    r"\[[A-Z*_ -]{2,}\]|\[[A-Za-z*_][A-Za-z0-9*_-]+(?: [A-Za-z0-9*_-]+){0,2}\]|<(?!BR\b|P\b|DIV\b)[A-Z_]{2,}>|\{\{?[A-Z_]{2,}\}?\}|\[\*+[^\]\n]{0,40}\*+\]|\*{3,}|_{3,}|█+|\bX{3,}\b"
 )
 _MARKUP = re.compile(r"</?[A-Za-z][^<>\n]{0,200}>|\\[nrt]|&(?:[a-z]+|#[0-9]+);")
 _PAGE = re.compile(r"(?i)[-–—=|*\[(]+\s?page\s+[0-9]+\s+(?:of|/)\s+[0-9]+\s?[-–—=|*\])]+")
