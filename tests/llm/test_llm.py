@@ -260,6 +260,13 @@ def test_leaks(spark):
     assert leakage.leaks(d.limit(0), i).collect() == [] and leakage.leaks(d, i.limit(0)).collect() == []
 
 
+def test_seed_inside_a_short_stretch_is_extended():
+    layout = ".....xx............xx.....x.....xx..........x."
+    item = [f"w{k}" for k in range(len(layout))]
+    doc = [w if c == "." else "zz" for w, c in zip(item, layout)]
+    assert leakage.leaked_items(doc, leakage.ItemIndex([(1, item)])) == [1]
+
+
 def test_tags_of_any_case_are_one_word():
     for tag in ("[REDACTED]", "[redacted]", "[Redacted]", "[Name]", "[PERSON_1]", "[person_1]", "[Patient Name]"):
         assert leakage.words(f"seen by {tag} today") == ["seen", "by", leakage.TAG, "today"], tag
