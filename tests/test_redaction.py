@@ -270,3 +270,20 @@ def test_compare(spark, tmp_path):
     rows = {r.name: r for r in results.collect()}
     assert rows["All Rules"].exact_matches == 2 and rows["Phones"].correctness_score == 50.0 and not rows["Model"].success
     assert "Best by accuracy: All Rules" in text and "| Model | failed" in text
+
+
+def test_model_masker_sees_whole_texts(monkeypatch):
+    import re
+
+    from veilwork.operators import maskers
+
+    def model(texts, batch_size):
+        assert max(map(len, texts)) <= 10_000
+        return [[{"start": m.start(), "end": m.end(), "entity_group": "PER"} for m in re.finditer("Smith Doe|José", t)] for t in texts]
+
+    monkeypatch.setattr(maskers.ModelMasker, "_load", lambda self: model)
+    long = "and so on " * 998 + "Smith Doe " * 5 + "x" * 25_000 + " José" + " é" * 9_000 + " Smith Doe"
+    whole = lambda t: [(m.start(), m.end(), "PER") for m in re.finditer("Smith Doe|José", t)]
+    masker = maskers.ModelMasker("m", backend="transformers")
+    assert masker.detect([long, "", "Smith Doe"]) == [whole(long), [], whole("Smith Doe")]
+    assert maskers.ModelMasker("m", backend="transformers", max_chars=10_000).detect([long]) == [whole(long[:10_000])]

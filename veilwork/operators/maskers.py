@@ -62,14 +62,30 @@ class ListMasker:
 
 
 _MODELS: dict = {}  # one a Python worker
+#: Characters of a text that a transformers model sees at once, and that neighbouring pieces have in common.
+PIECE, OVERLAP = 10_000, 400
+
+
+def _pieces(text: str) -> list[tuple[int, str]]:
+    """(offset, piece) of a whole text, cut at white space where there is some."""
+    out, start = [], 0
+    while len(text) - start > PIECE:
+        hi = start + PIECE
+        gaps = [text.rfind(c, start + PIECE // 2, hi) for c in " \n\t"]
+        end = max(gaps) + 1 or hi
+        out.append((start, text[start:end]))
+        gap = text.find(" ", end - OVERLAP, end - OVERLAP // 2)
+        start = gap + 1 if gap >= 0 else end - OVERLAP
+    return [*out, (start, text[start:])]
 
 
 @dataclass(frozen=True)
 class ModelMasker:
     """A named-entity model.  ``backend`` is ``spacy`` or ``transformers``.
 
-    Texts of a batch go to the model together.  ``max_chars`` cuts what the model sees
-    (10,000 by default for transformers, none for spacy).  Errors fail the job unless
+    Texts of a batch go to the model together; transformers models see long ones in
+    overlapping pieces.  ``max_chars`` cuts what the model sees (10,000 is the older
+    behaviour with transformers); without it whole texts are masked.  Errors fail the job unless
     ``on_error`` is ``skip``.
     """
 
@@ -99,12 +115,15 @@ class ModelMasker:
         return S.of_types_within(run.asNondeterministic()(text), types)
 
     def detect(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
-        limit = self.max_chars or (10_000 if self.backend == "transformers" else None)
-        cut = [t[:limit] for t in texts]
+        cut = [t[: self.max_chars or None] for t in texts]
         model = self._load()
         if self.backend == "spacy":
             return [[(e.start_char, e.end_char, e.label_) for e in d.ents] for d in model.pipe(cut, batch_size=self.batch_size)]
-        return [[(e["start"], e["end"], e["entity_group"]) for e in f] for f in model(cut, batch_size=self.batch_size)]
+        parts = [(n, at, part) for n, t in enumerate(cut) for at, part in _pieces(t)]
+        out: list[dict[tuple[int, int, str], None]] = [{} for _ in cut]  # what two pieces find counts once
+        for (n, at, _), found in zip(parts, model([part for _, _, part in parts], batch_size=self.batch_size)):
+            out[n].update(dict.fromkeys((e["start"] + at, e["end"] + at, e["entity_group"]) for e in found))
+        return [sorted(f) for f in out]
 
     def _load(self):
         key = (self.backend, self.model, self.device)
