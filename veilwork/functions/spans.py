@@ -1,26 +1,34 @@
-"""Span arrays as column expressions: detect, filter, sort, merge, mask.
+"""Span arrays as columns: detect, filter, sort, merge, mask.
 
-A span is ``struct<start int, end int, label string, ord int>``: half-open code-point
-bounds and the order of emission, which breaks ties between equal starts.  Every builder
-binds its inputs once (``let``), so nothing is evaluated again for each element.
+A span is ``struct<start int, end int, label string>``: half-open code-point bounds; an
+array is in order of emission, which breaks ties between equal starts.  Filters by label
+are column expressions.  What needs positions in the text runs as an Arrow function, one
+forward scan a row (see ``scan``): the array functions of the JVM copy the array for
+every element they append and count characters from the start of the text for every
+slice, which is quadratic in the number of spans.
+
+The Arrow functions are declared nondeterministic, so that the optimizer neither
+repeats them for every use of their result nor moves them into a filter or a lambda.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veilwork.functions import scan
 from veilwork.functions.rules import TAG, Rule
-from veilwork.functions.text import let2
 
-SPAN = "struct<start:int,end:int,label:string,ord:int>"
+SPAN = "struct<start:int,end:int,label:string>"
 NO_SPANS = f"CAST(array() AS array<{SPAN}>)"
-_PLAIN = "array<struct<start:int,end:int,txt:string>>"
+SPAN_TYPE = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("label", T.StringType())])
+_ARROW_SPAN = {"start": pa.int32(), "end": pa.int32(), "label": pa.string()}
 
 
 def literal(text: str) -> str:
@@ -28,116 +36,97 @@ def literal(text: str) -> str:
     return re.sub(r"([\\^$.|?*+()\[\]{}])", r"\\\1", text)
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """(start, end, txt) of all matches, leftmost and not overlapping.
+def list_array(lists: Sequence[Sequence[tuple] | None], fields: Mapping[str, pa.DataType]) -> pa.Array:
+    """Lists of tuples as an Arrow array of structs, built by column; None is null."""
+    offsets = np.zeros(len(lists) + 1, np.int32)
+    np.cumsum([len(x or ()) for x in lists], out=offsets[1:])
+    columns = list(zip(*(t for x in lists if x for t in x))) or [()] * len(fields)
+    values = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, fields.values())], names=list(fields))
+    nulls = pa.array([x is None for x in lists])
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=nulls if any(x is None for x in lists) else None)
 
-    The stretches between matches and the matches alternate, so their lengths add up to
-    exact offsets.
-    """
-    steps = F.zip_with(
-        F.split(text, pattern, -1),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit")),
-    )
-    start = lambda s, x: s["pos"] + x["gap"]
-    return F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("pos"), F.expr(f"CAST(array() AS {_PLAIN})").alias("out")),
-        lambda s, x: F.when(x["hit"].isNull(), s).otherwise(
-            F.struct(
-                (start(s, x) + F.char_length(x["hit"])).alias("pos"),
-                F.concat(
-                    s["out"],
-                    F.array(
-                        F.struct(
-                            start(s, x).alias("start"), (start(s, x) + F.char_length(x["hit"])).alias("end"), x["hit"].alias("txt")
-                        )
-                    ),
-                ).alias("out"),
-            )
-        ),
-        lambda s: s["out"],
-    )
 
+def span_array(lists: Sequence[Sequence[scan.Span] | None]) -> pa.Array:
+    return list_array(lists, _ARROW_SPAN)
 
-# De-nested form of the address rule: the same strings, without backtracking into words.
-_WS = r"[\s]"
-_ADDRESS = re.compile(
-    rf"\d{{1,5}}{_WS}+(?:[A-Za-z0-9]+(?:{_WS}[A-Za-z0-9]+){{1,7}}|[A-Za-z0-9]{{2,}}){_WS}?"
-    rf"(?:,{_WS}?)?[A-Za-z]+(?:[ -][A-Za-z]+)*(?:,{_WS}?)?[A-Z]{{2}}(?:,?{_WS}?\d{{5}})?"
-)
 
+def span_lists(spans: pa.Array) -> list[list[scan.Span] | None]:
+    """The lists of an Arrow array of spans; null spans and spans without bounds vanish."""
+    if isinstance(spans, pa.ChunkedArray):
+        spans = spans.combine_chunks()
+    flat = spans.flatten()
+    parts = [flat.field(k).to_pylist() for k in range(3)] if len(flat) else [[], [], []]
+    valid = flat.is_valid().to_pylist()
+    out, at = [], 0
+    for n in spans.value_lengths().to_pylist():
+        if n is None:
+            out.append(None)
+            continue
+        out.append([(parts[0][k], parts[1][k], parts[2][k]) for k in range(at, at + n) if valid[k] and parts[0][k] is not None and parts[1][k] is not None])
+        at += n
+    return out
 
-@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))
-def _address_spans(texts: pa.Array) -> pa.Array:
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    return pa.array(
-        [None if t is None else [{"start": m.start(), "end": m.end()} for m in _ADDRESS.finditer(t)] for t in texts.to_pylist()], kind
-    )
 
+def per_text(function: Callable, kind: T.DataType, build: Callable = pa.array) -> Callable[..., Column]:
+    """An Arrow function over texts (and spans); a null in any of them gives null."""
 
-#: Declared nondeterministic only so that the optimizer does not move it into a lambda, where no Python function can run.
-address_spans = _address_spans.asNondeterministic()
+    def run(*columns: pa.Array) -> pa.Array:
+        lists = [span_lists(c) if pa.types.is_list(c.type) else c.to_pylist() for c in columns]
+        return build([None if any(v is None for v in row) else function(*row) for row in zip(*lists)])
 
+    if kind == T.StringType():
+        build = lambda rows: pa.array(rows, pa.string())
 
-def rule_spans(text: Column, rule: Rule, order: int, names: Sequence[str] | Column | None = None) -> Column:
-    """Spans of one rule.  ``names`` (known names) restricts persons: one token must be listed."""
-    label, ordinal = F.lit(rule.label).alias("label"), F.lit(order).alias("ord")
-    if rule.id == "R7":
-        gated = F.when(text.rlike(rule.gate) & text.rlike("[A-Z]{2}"), text)
-        found = F.coalesce(address_spans(gated), F.expr("CAST(array() AS array<struct<start:int,end:int>>)"))
-        return F.transform(found, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), label, ordinal))
-    found = matches(text, rule.pattern)
-    if rule.group:
-
-        def inner(m: Column) -> Column:
-            lead = F.char_length(F.regexp_extract(m["txt"], rule.lead, 0))
-            name = F.regexp_extract(m["txt"], rule.pattern, rule.group)
-            return F.struct(
-                (m["start"] + lead).alias("start"), (m["start"] + lead + F.char_length(name)).alias("end"), name.alias("txt")
-            )
-
-        found = F.transform(found, inner)
-    if rule.label == "PERSON" and names is not None:
-        listed = names if isinstance(names, Column) else F.array(*map(F.lit, names)) if names else None
-        if listed is not None:
-            tokens = lambda m: F.regexp_extract_all(m["txt"], F.lit("[A-Za-z]+"), F.lit(0))
-            keep = lambda m: F.arrays_overlap(tokens(m), listed)
-            found = F.filter(found, keep)
-    spans = F.transform(found, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), label, ordinal))
-    if rule.gate:
-        spans = F.when(text.rlike(rule.gate), spans).otherwise(F.expr(NO_SPANS))
-    return spans
+    def one(a: pa.Array) -> pa.Array:
+        return run(a)
 
+    def two(a: pa.Array, b: pa.Array) -> pa.Array:
+        return run(a, b)
 
-def tag_ranges(text: Column, tags: Sequence[str] = (TAG,)) -> Column:
-    """Ranges of existing tags in a text."""
-    return matches(text, "|".join(literal(t) for t in tags if t))
+    return lambda *columns: F.arrow_udf(one if len(columns) == 1 else two, kind).asNondeterministic()(*columns)
 
 
-def outside(spans: Column, ranges: Column) -> Column:
-    """Drop every span that overlaps a range; touching is allowed."""
-    return let2(
-        spans,
-        ranges,
-        lambda ss, rs: F.filter(ss, lambda s: ~F.exists(rs, lambda r: (s["start"] < r["end"]) & (s["end"] > r["start"]))),
-    )
+def _spans_of(function: Callable) -> Callable[..., Column]:
+    return per_text(function, T.ArrayType(SPAN_TYPE), span_array)
 
 
-def slice_of(text: Column, span: Column) -> Column:
-    return F.substring(text, span["start"] + 1, span["end"] - span["start"])
+def rule_spans(text: Column, rule: Rule, names: Collection[str] | None = None) -> Column:
+    """Spans of one rule.  ``names`` (known names) restricts persons: one token must be listed."""
+    listed = frozenset(names) if names else None
+    return _spans_of(lambda t: [(a, b, rule.label) for a, b in scan.rule_matches(t, rule, listed)])(text)
 
 
-def is_upper(text: Column) -> Column:
-    """At least one cased character and none of lower case."""
-    return (F.upper(text) == text) & (F.lower(text) != text)
+def tag_ranges(text: Column, tags: Sequence[str] = (TAG,)) -> Column:
+    """Ranges of existing tags in a text, as spans labelled ``TAG``."""
+    return _spans_of(lambda t: [(a, b, "TAG") for a, b in scan.occurrences(t, tags)])(text)
 
 
 def without_capitals(spans: Column, text: Column, keep: Sequence[str] = ()) -> Column:
     """Drop spans in capitals unless their label speaks of a person or an address, or is in ``keep``."""
-    label = lambda s: F.lower(s["label"])
-    spared = lambda s: label(s).contains("person") | label(s).contains("address") | s["label"].isin(*keep or ("",))
-    return let2(text, spans, lambda t, ss: F.filter(ss, lambda s: ~(is_upper(slice_of(t, s)) & ~spared(s))))
+    return _spans_of(lambda ss, t: scan.without_capitals(ss, t, keep))(spans, text)
+
+
+def merged(spans: Column) -> Column:
+    """Merge spans that overlap strictly; the first label stays, touching spans stay apart, null spans vanish."""
+    return _spans_of(scan.merged)(spans)
+
+
+def masked(text: Column, spans: Column, mask: str = TAG, custom: Mapping[str, str] | None = None) -> Column:
+    """Splice masks over sorted spans; one that starts before the last end is skipped.
+
+    ``custom`` maps labels to masks; labels it lacks take ``mask``.
+    """
+    return per_text(lambda t, ss: scan.spliced(t, ss, mask, custom)[0], T.StringType())(text, spans)
+
+
+_MASKED = {"mask_set": pa.string(), "masked": pa.string()}
+
+
+def masked_by_sets(text: Column, spans: Column, sets: Sequence[tuple[str, Mapping[str, str] | None]]) -> Column:
+    """Array of (mask_set, masked): the text under each dictionary of masks; a null dictionary has no mask of its own."""
+    rows = lambda t, ss: [(name, scan.spliced(t, ss, TAG, masks)[0]) for name, masks in sets]
+    kind = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in _MASKED]))
+    return per_text(rows, kind, lambda x: list_array(x, _MASKED))(text, spans)
 
 
 def of_types_exact(spans: Column, types: Sequence[str]) -> Column:
@@ -154,61 +143,6 @@ def of_types_within(spans: Column, types: Sequence[str]) -> Column:
     )
 
 
-def ordered(spans: Column) -> Column:
-    """By start, then emission order; null spans vanish."""
-    return F.transform(
-        F.array_sort(
-            F.transform(
-                F.filter(spans, lambda s: s.isNotNull()),
-                lambda s: F.struct(s["start"].alias("start"), s["ord"].alias("ord"), s["end"].alias("end"), s["label"].alias("label")),
-            )
-        ),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["label"].alias("label"), s["ord"].alias("ord")),
-    )
-
-
-def merged(spans: Column) -> Column:
-    """Merge spans that overlap strictly; the first label stays, touching spans stay apart."""
-    put = lambda out, s: F.concat(out, F.array(s))
-
-    def step(state: Column, s: Column) -> Column:
-        last = state["last"]
-        wider = F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["label"].alias("label"), last["ord"].alias("ord")
-        )
-        return (
-            F.when(last.isNull(), F.struct(state["out"].alias("out"), s.alias("last")))
-            .when(s["start"] < last["end"], F.struct(state["out"].alias("out"), wider.alias("last")))
-            .otherwise(F.struct(put(state["out"], last).alias("out"), s.alias("last")))
-        )
-
-    zero = F.struct(F.expr(NO_SPANS).alias("out"), F.expr(f"CAST(NULL AS {SPAN})").alias("last"))
-    finish = lambda s: F.when(s["last"].isNull(), s["out"]).otherwise(put(s["out"], s["last"]))
-    return F.aggregate(ordered(spans), zero, step, finish)
-
-
-def masked(text: Column, spans: Column, mask: str | Column = TAG, custom: Column | None = None) -> Column:
-    """Splice masks over sorted spans; one that starts before the last end is skipped.
-
-    ``custom`` is a map from label to mask; labels it lacks take ``mask``.
-    """
-    default = F.lit(mask) if isinstance(mask, str) else mask
-
-    def put(t: Column, ss: Column) -> Column:
-        def step(state: Column, s: Column) -> Column:
-            own = default if custom is None else F.coalesce(F.element_at(custom, s["label"]), default)
-            gap = F.substring(t, state["pos"] + 1, s["start"] - state["pos"])
-            return F.when(s["start"] < state["pos"], state).otherwise(
-                F.struct(s["end"].alias("pos"), F.concat(state["parts"], F.array(gap, own)).alias("parts"))
-            )
-
-        zero = F.struct(F.lit(0).alias("pos"), F.expr("CAST(array() AS array<string>)").alias("parts"))
-        rest = lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(t, s["pos"] + 1, F.char_length(t)))
-        return F.when(F.size(ss) > 0, F.aggregate(ss, zero, step, rest)).otherwise(t)
-
-    return let2(text, spans, put)
-
-
 def collapsed(text: Column, mask: str = TAG) -> Column:
     """Runs of one mask with white space between become one mask; an empty mask has no runs."""
     if not mask:
@@ -217,24 +151,17 @@ def collapsed(text: Column, mask: str = TAG) -> Column:
     return F.when(text.contains(mask), F.regexp_replace(text, rf"(?U){m}(?:[\s\x1c-\x1f]*+{m})++", mask.replace("\\", "\\\\").replace("$", "\\$"))).otherwise(text)
 
 
+_CONTEXT = {"nr": pa.int32(), "label": pa.string(), "entity": pa.string(), "before": pa.string(), "after": pa.string(), "start": pa.int32(), "end": pa.int32()}
+_CONTEXT_TYPE = T.StructType([T.StructField(n, T.IntegerType() if t == pa.int32() else T.StringType()) for n, t in _CONTEXT.items()])
+
+
 def context_rows(spans: Column, text: Column, chars: int = 30) -> Column:
     """Array of (nr, label, entity, before, after, start, end) for review."""
-    return let2(
-        text,
-        spans,
-        lambda t, ss: F.transform(
-            ss,
-            lambda s, i: F.struct(
-                (i + 1).alias("nr"),
-                s["label"].alias("label"),
-                slice_of(t, s).alias("entity"),
-                F.substring(t, F.greatest(s["start"] - chars, F.lit(0)) + 1, s["start"] - F.greatest(s["start"] - chars, F.lit(0))).alias("before"),
-                F.substring(t, s["end"] + 1, F.lit(chars)).alias("after"),
-                s["start"].alias("start"),
-                s["end"].alias("end"),
-            ),
-        ),
-    )
+
+    def rows(ss: list[scan.Span], t: str) -> list[tuple]:
+        return [(n, label, t[a:b], t[max(0, a - chars) : a], t[b : b + chars], a, b) for n, (a, b, label) in enumerate(ss, 1)]
+
+    return per_text(rows, T.ArrayType(_CONTEXT_TYPE), lambda x: list_array(x, _CONTEXT))(spans, text)
 
 
 def preview(text: Column, chars: int = 100) -> Column:

@@ -23,4 +23,5 @@ def totals(df: DataFrame, spans: str = "spans") -> DataFrame:
 
 def contexts(df: DataFrame, key: str, column: str = "text", spans: str = "spans", chars: int = 30) -> DataFrame:
     """One row a span: ordinal, label, stretch, up to ``chars`` characters before and after."""
-    return df.select(key, F.explode(S.context_rows(F.col(spans), F.col(column), chars)).alias("c")).select(key, "c.*")
+    rows = df.select(key, S.context_rows(F.col(spans), F.col(column), chars).alias("_rows"))
+    return rows.select(key, F.explode("_rows").alias("c")).select(key, "c.*")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,30 +13,23 @@ from veilwork.functions import spans as S
 from veilwork.functions.text import is_blank, strip_space
 from veilwork.operators import scoring, stats
 from veilwork.operators.engine import RedactConfig, detect, redact
-from veilwork.operators.maskers import ListMasker, RuleMasker
+from veilwork.operators.maskers import ListMasker, RuleMasker, spans_of
 from veilwork.plans import sql as Q
 from veilwork.sources.io import names_of
 from veilwork.sources.tables import spread, table
 
-#: Most names that are put into a plan as a literal list.
-NAMES_IN_PLAN = 10_000
+#: Mask dictionaries that are applied together.
 MASK_SETS = 50
+_TERMS = ("metformin", "apixaban", "insulin glargine", "insulin")
 
 
 def _notes(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spread(table(spark, sf_dir, "test").select("id", "text", *columns), "id")
 
 
-def known_names(spark: SparkSession, sf_dir: str, list_id: str = "default") -> list[str]:
-    """The names of one list; the list is a fixed configuration table, its size is checked."""
-    names = names_of(table(spark, sf_dir, "known_names").where(F.col("list_id") == list_id)).limit(NAMES_IN_PLAN + 1).collect()
-    if len(names) > NAMES_IN_PLAN:
-        raise ValueError(f"more than {NAMES_IN_PLAN} known names; use a joined list")
-    return sorted(r.name for r in names)
-
-
-def _as_stored(**options) -> RedactConfig:
-    return RedactConfig(normalize=False, **options)
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of all lists."""
+    return names_of(table(spark, sf_dir, "known_names"))
 
 
 def _span_rows(df: DataFrame, spans: str = "spans") -> DataFrame:
@@ -49,26 +43,29 @@ def rule_query(rule: R.Rule, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spans_person_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = known_names(spark, sf_dir)
+    """Persons of whom one token is a known name, in the stored texts."""
+    cfg = RedactConfig(maskers=(RuleMasker(rules=(R.PERSON,), tags=()),), normalize=False)
+    return _span_rows(detect(_notes(spark, sf_dir), "text", cfg, names=_names(spark, sf_dir), key="id"))
+
+
+def _rules_on_notes(spark: SparkSession, sf_dir: str, types: tuple[str, ...] = ()) -> DataFrame:
+    """Notes with the spans of all rules outside existing tags."""
     notes = _notes(spark, sf_dir).where("text IS NOT NULL")
-    return _span_rows(notes.select("id", S.rule_spans(F.col("text"), R.PERSON, 0, names).alias("spans")))
+    return notes.withColumn("spans", spans_of(RuleMasker(normalize=False), F.col("text"), types))
 
 
 def overlap_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of all rules outside existing tags."""
-    notes = _notes(spark, sf_dir).where("text IS NOT NULL")
-    return _span_rows(notes.select("id", RuleMasker().spans(F.col("text")).alias("spans")))
+    return _span_rows(_rules_on_notes(spark, sf_dir))
 
 
 def tag_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     notes = _notes(spark, sf_dir).where("text IS NOT NULL")
-    found = notes.select("id", F.explode(S.tag_ranges(F.col("text"))).alias("r"))
-    return found.select("id", "r.start", "r.end")
+    return _span_rows(notes.select("id", S.tag_ranges(F.col("text")).alias("spans"))).drop("label")
 
 
 def type_filter_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    notes = _notes(spark, sf_dir).where("text IS NOT NULL")
-    return _span_rows(notes.select("id", RuleMasker().spans(F.col("text"), ("PHONE", "EMAIL", "person")).alias("spans")))
+    return _span_rows(_rules_on_notes(spark, sf_dir, ("PHONE", "EMAIL", "person")))
 
 
 def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +73,7 @@ def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = table(spark, sf_dir, "span_lists").where("id IS NOT NULL AND spans IS NOT NULL")
     each = lists.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("masker", "spans"))).alias("l"))
     flat = F.filter(F.flatten(F.transform("l", lambda x: x["spans"])), lambda s: s.isNotNull() & s["start"].isNotNull() & s["end"].isNotNull())
-    tagged = F.transform(flat, lambda s, i: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["label"].alias("label"), i.alias("ord")))
-    return each.select("id", tagged.alias("spans"))
+    return each.select("id", flat.alias("spans"))
 
 
 def span_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +91,7 @@ def merge_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upper_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    notes = _notes(spark, sf_dir).where("text IS NOT NULL")
-    notes = notes.withColumn("spans", RuleMasker().spans(F.col("text")))
+    notes = _rules_on_notes(spark, sf_dir)
     return _span_rows(notes.select("id", S.without_capitals(F.col("spans"), F.col("text")).alias("spans")))
 
 
@@ -108,19 +103,20 @@ def mask_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mask_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``mask_listed`` with every stored dictionary of masks; a dictionary without a label leaves it the default."""
-    sets = table(spark, sf_dir, "custom_masks").select("mask_set", "masks")
+    """As ``mask_listed`` with every stored dictionary of masks; a dictionary without a label leaves it the default.
+
+    The dictionaries are configuration: ``MASK_SETS`` of them at a time stand beside the
+    rows, so notes are read once a block and never joined with them on nothing.
+    """
+    sets = ((r.mask_set, r.masks) for r in table(spark, sf_dir, "custom_masks").select("mask_set", "masks").orderBy("mask_set").toLocalIterator())
     spans = _listed(spark, sf_dir).select("id", S.merged(F.col("spans")).alias("spans"))
     notes = table(spark, sf_dir, "test").where("text IS NOT NULL").select("id", "text").join(spans, "id")
-    # One small array of all dictionaries beside every row, not a join on nothing.
-    known = [(r.mask_set, r.masks) for r in sets.orderBy("mask_set").limit(MASK_SETS + 1).collect()]
-    if len(known) > MASK_SETS:
-        raise ValueError(f"more than {MASK_SETS} mask dictionaries; mask with one at a time")
-    rows = F.array(*[
-        F.struct(F.lit(n).alias("mask_set"), S.masked(F.col("text"), F.col("spans"), custom=F.create_map(*[F.lit(x) for kv in (m or {}).items() for x in kv]) if m else None).alias("masked"))
-        for n, m in known
-    ])
-    return notes.select("id", F.explode(rows).alias("r")).select("id", "r.mask_set", "r.masked")
+    parts = []
+    while block := list(islice(sets, MASK_SETS)):
+        rows = notes.select("id", S.masked_by_sets(F.col("text"), F.col("spans"), block).alias("rows"))
+        parts.append(rows.select("id", F.explode("rows").alias("r")).select("id", "r.mask_set", "r.masked"))
+    empty = notes.select("id", F.lit("").alias("mask_set"), F.lit("").alias("masked")).limit(0)
+    return reduce(DataFrame.unionByName, parts, empty) if not parts else reduce(DataFrame.unionByName, parts)
 
 
 def collapse_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,27 +125,27 @@ def collapse_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redact_two_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every rule, two passes, on the stored characters; the other columns pass through."""
-    return redact(_notes(spark, sf_dir, "note_no", "facility"), "text", _as_stored())
+    """The default engine: every rule, two passes, detection on the compatibility form; the other columns pass through."""
+    return redact(_notes(spark, sf_dir, "note_no", "facility"), "text", RedactConfig())
+
+
+def redact_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``redact_two_pass``, detecting on the stored characters."""
+    return redact(_notes(spark, sf_dir), "text", RedactConfig(normalize=False))
 
 
 def redact_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = _as_stored(maskers=(RuleMasker(known_names(spark, sf_dir)),))
-    return redact(_notes(spark, sf_dir), "text", cfg)
+    """Persons only where a token is a known name."""
+    return redact(_notes(spark, sf_dir), "text", RedactConfig(), names=_names(spark, sf_dir), key="id")
 
 
 def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return redact(docs, "text", _as_stored())
-
-
-def redact_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The default engine: detection on the compatibility form, masks in the stored text."""
-    return redact(_notes(spark, sf_dir), "text", RedactConfig())
+    return redact(docs, "text", RedactConfig())
 
 
 def _counted(spark: SparkSession, sf_dir: str, dry: bool) -> DataFrame:
-    return redact(_notes(spark, sf_dir), "text", _as_stored(dry_run=dry), "spans")
+    return redact(_notes(spark, sf_dir), "text", RedactConfig(dry_run=dry), "spans")
 
 
 def label_stats(spark: SparkSession, sf_dir: str, dry: bool = False) -> DataFrame:
@@ -161,7 +157,7 @@ def total_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def context_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = detect(_notes(spark, sf_dir), "text", _as_stored())
+    found = detect(_notes(spark, sf_dir), "text", RedactConfig())
     return stats.contexts(found, "id")
 
 
@@ -175,8 +171,8 @@ def names_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ner_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A plug-in detector beside the rules: terms of a list, labelled DRUG."""
-    masker = ListMasker(("metformin", "apixaban", "insulin glargine", "insulin"), "DRUG")
-    return _span_rows(detect(_notes(spark, sf_dir), "text", _as_stored(maskers=(masker,))))
+    masker = ListMasker(_TERMS, "DRUG")
+    return _span_rows(detect(_notes(spark, sf_dir), "text", RedactConfig(maskers=(masker,))))
 
 
 def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +200,7 @@ def score_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-pass output scored against the expected notes."""
     expected = _expected(spark, sf_dir)
     sample = table(spark, sf_dir, "test").select("id", "text").join(expected.select("id"), "id", "left_semi")
-    actual = redact(sample, "text", _as_stored())
+    actual = redact(sample, "text", RedactConfig())
     return scoring.score(scoring.paired(actual, expected, "id"))
 
 
@@ -231,7 +227,7 @@ QUERIES = {name: partial(rule_query, rule) for name, rule in _BY_RULE.items()} |
     f.__name__: f
     for f in (
         spans_person_known, overlap_exclusion, tag_ranges, type_filter_exact, type_filter_substring, span_union, merge_spans, upper_filter,
-        mask_listed, mask_custom, collapse_tags, redact_two_pass, redact_known, redact_documents, redact_normalized, label_stats, total_stats,
+        mask_listed, mask_custom, collapse_tags, redact_two_pass, redact_stored, redact_known, redact_documents, label_stats, total_stats,
         context_excerpt, preview, names_set, ner_dictionary, tag_counts, blank_guard, exact_match, score_metrics, score_ranking, score_argmax,
         successful_runs,
     )
@@ -241,9 +237,10 @@ QUERIES["dry_run_stats"] = partial(label_stats, dry=True)
 # ---- SQL -----------------------------------------------------------------------------
 
 _NOTES = "(SELECT id, text FROM test WHERE text IS NOT NULL)"
-_NAMES = "SELECT list(n) FROM (SELECT unnest(list_concat(coalesce(names.men, []), coalesce(names.women, []), coalesce(names.last, []))) AS n FROM known_names WHERE list_id = 'default')"
+_NAMES = "SELECT list(n) FROM (SELECT unnest(list_concat(coalesce(names.men, []), coalesce(names.women, []), coalesce(names.last, []))) AS n FROM known_names)"
 _TEST = "SELECT id, text FROM test"
 _ONE = f"WITH {Q.redaction(_TEST, 1)}"
+_ONE_STORED = f"WITH {Q.redaction(_TEST, 1, normalize=False)}"
 _TWO = f"WITH {Q.redaction(_TEST)}"
 _BLANK = Q.blank("text")
 _LISTED = """l AS (SELECT id, s.start AS start, s."end" AS "end", s.label AS label, row_number() OVER (PARTITION BY id ORDER BY masker, r, p) AS ord FROM (
@@ -274,7 +271,7 @@ ORACLE = {name: f'SELECT id, start, "end", label FROM ({Q.spans(_NOTES, rule.id)
     "type_filter_substring": f"""WITH {_LISTED} SELECT id, start, "end", label FROM l WHERE contains(lower(label), 'per') OR contains(lower(label), 'date')""",
     "span_union": f'WITH {_LISTED} SELECT id, start, "end", label FROM l',
     "merge_spans": f"WITH {_LISTED} {Q.merge('l')}",
-    "upper_filter": f"""{_ONE.replace("NOT " + _BLANK, "true")} SELECT id, start, "end", label FROM f1""",
+    "upper_filter": f"""{_ONE_STORED.replace("NOT " + _BLANK, "true")} SELECT id, start, "end", label FROM f1""",
     "mask_listed": f"WITH {_LISTED}, g AS ({Q.merge('l')}), m AS ({Q.mask(_NOTES, 'g')}) SELECT t.id, coalesce(m.masked, t.text) AS masked FROM {_NOTES} t LEFT JOIN m ON m.id = t.id WHERE t.id IN (SELECT id FROM span_lists WHERE spans IS NOT NULL)",
     "mask_custom": f"""WITH {_LISTED}, g AS ({Q.merge("l")}), c AS (SELECT mask_set, masks FROM custom_masks),
       x AS (SELECT g.*, c.mask_set, coalesce(c.masks[g.label], '{Q.TAG}') AS mask, coalesce(lag(g."end") OVER (PARTITION BY g.id, c.mask_set ORDER BY g.start), 0) AS before FROM g, c)
@@ -283,6 +280,7 @@ ORACLE = {name: f'SELECT id, start, "end", label FROM ({Q.spans(_NOTES, rule.id)
       FROM x JOIN {_NOTES} t ON t.id = x.id GROUP BY x.id, x.mask_set""",
     "collapse_tags": f"SELECT id, {Q.collapse('text')} AS collapsed FROM expected_notes WHERE id IS NOT NULL AND text IS NOT NULL",
     "redact_two_pass": f"{_TWO} SELECT x.id, coalesce(t2.text, x.text) AS text, x.note_no, x.facility FROM test x LEFT JOIN t2 ON t2.id = x.id",
+    "redact_stored": f"WITH {Q.redaction(_TEST, normalize=False)} SELECT x.id, coalesce(t2.text, x.text) AS text FROM test x LEFT JOIN t2 ON t2.id = x.id",
     "redact_known": f"WITH {Q.redaction(_TEST, names=_NAMES)} SELECT x.id, coalesce(t2.text, x.text) AS text FROM test x LEFT JOIN t2 ON t2.id = x.id",
     "redact_documents": f"WITH {Q.redaction('SELECT doc_id AS id, text FROM documents')} SELECT x.doc_id, coalesce(t2.text, x.text) AS text FROM documents x LEFT JOIN t2 ON t2.id = x.doc_id",
     "label_stats": f"{_TWO} SELECT label, count(*) AS cnt FROM (SELECT label FROM g1 UNION ALL SELECT label FROM g2) GROUP BY label",
@@ -292,6 +290,7 @@ ORACLE = {name: f'SELECT id, start, "end", label FROM ({Q.spans(_NOTES, rule.id)
       substr(t.text, greatest(g.start - 30, 0) + 1, g.start - greatest(g.start - 30, 0)) AS before, substr(t.text, g."end" + 1, 30) AS after, g.start, g."end" FROM g1 g JOIN t0 t ON t.id = g.id""",
     "preview": "SELECT id, substr(text, 1, 100) || CASE WHEN length(text) > 100 THEN '...' ELSE '' END AS preview FROM test WHERE text IS NOT NULL",
     "names_set": "SELECT DISTINCT name FROM (SELECT unnest(list_concat(coalesce(names.men, []), coalesce(names.women, []), coalesce(names.last, []))) AS name FROM known_names) WHERE name IS NOT NULL",
+    "ner_dictionary": f"""WITH {Q.redaction(_TEST, 1, ("L1",), normalize=False)} SELECT id, start, "end", label FROM g1""",
     "tag_counts": f"SELECT id, (length(text) - length(replace(text, '{Q.TAG}', ''))) // {len(Q.TAG)} AS tags FROM test WHERE text IS NOT NULL",
     "blank_guard": f"SELECT id, text IS NULL OR {_BLANK} AS blank FROM test",
     "exact_match": f"SELECT t.id, e.text AS expected, {_STRIP('t.text')} = {_STRIP('e.text')} AS same FROM test t JOIN expected_notes e ON e.id = t.id WHERE t.text IS NOT NULL AND e.text IS NOT NULL",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 S = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 D = r"\p{Nd}"
 TAG = "[REDACTED]"
@@ -12,14 +15,26 @@ def blank(t: str) -> str:
 
 
 
-# Letters, marks and digits beyond ASCII.
-_WORDS = r"[\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{2c1}\x{300}-\x{374}\x{376}\x{377}\x{37b}-\x{37d}\x{386}\x{388}-\x{3ff}\x{400}-\x{481}\x{483}-\x{52f}\x{1e00}-\x{1fbc}\x{200c}\x{200d}\x{2071}\x{207f}\x{2090}-\x{209c}\x{2126}\x{3041}-\x{3096}\x{3099}\x{309a}\x{30a1}-\x{30fa}\x{30fc}-\x{30ff}\x{3400}-\x{9fff}\x{ac00}-\x{d7a3}\x{fb00}-\x{fb06}\x{fe00}-\x{fe0f}\x{ff10}-\x{ff19}\x{ff21}-\x{ff3a}\x{ff3f}\x{ff41}-\x{ff5a}\x{1e900}-\x{1e94b}]"
+def _ranges(cps: list[int]) -> str:
+    """The body of a character class, as ranges of code points."""
+    runs, at = [], 0
+    while at < len(cps):
+        to = at
+        while to + 1 < len(cps) and cps[to + 1] == cps[to] + 1:
+            to += 1
+        runs.append(f"\\x{{{cps[at]:x}}}-\\x{{{cps[to]:x}}}")
+        at = to + 1
+    return "".join(runs)
+
+
+# Letters and digits beyond ASCII; a combining mark is none.
+_WORDS = f"[{_ranges([c for c in range(0x80, 0x110000) if chr(c).isalnum()])}]"
 
 
-def mapped(t: str) -> str:
-    """Beyond ASCII: spaces as a blank, word characters as ``_``, the rest as ``~``; lengths stay."""
+def mapped(t: str, space: str = " ") -> str:
+    """Beyond ASCII: spaces as ``space``, word characters as ``_``, the rest as ``~``; lengths stay."""
     spaces = r"[\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-    return f"regexp_replace(regexp_replace(regexp_replace({t}, '{spaces}', ' ', 'g'), '{_WORDS}', '_', 'g'), '[^\\x00-\\x7f]', '~', 'g')"
+    return f"regexp_replace(regexp_replace(regexp_replace({t}, '{spaces}', '{space}', 'g'), '{_WORDS}', '_', 'g'), '[^\\x00-\\x7f]', '~', 'g')"
 
 
 #: label, order of emission, pattern with the match as group 1 and what it looks ahead to as group 2, on mapped text?
@@ -42,13 +57,15 @@ RULES = {
         rf"(\b(?:DWR|DWA|MD|Dr\.?){S}+[A-Z][a-z]+{S}+(?:DWR|DWA|MD|Dr\.?|[A-Z]{{2,4}})\b)()", True,
     ),
 }
+#: Terms of a list, as a rule of its own.
+LISTED = {"L1": ("DRUG", 0, r"(\b(?:insulin glargine|metformin|apixaban|insulin)\b)()", "~")}
 _LEAD = rf"^(?:DWR|DWA|MD|Dr\.?){S}+"
 
 
 def spans(source: str, rule: str, names: str | None = None) -> str:
     """SELECT id, start, end, label, ord of one rule over ``source`` (id, text)."""
-    label, order, pattern, on_mapped = RULES[rule]
-    t = mapped("text") if on_mapped else "text"
+    label, order, pattern, on_mapped = (RULES | LISTED)[rule]
+    t = mapped("text", "~" if on_mapped == "~" else " ") if on_mapped else "text"
     sizes = lambda lst: f"coalesce(list_sum(list_transform({lst}, lambda z: length(z))), 0)"
     sql = f"""SELECT id, CAST({sizes('g[1:i]')} + {sizes('m[1:i-1]')} + {sizes('k[1:i-1]')} AS INT) AS start, m[i] AS hit FROM (
       SELECT id, m, k, g, unnest(generate_series(1, len(m))) AS i FROM (
@@ -83,17 +100,56 @@ def collapse(text: str) -> str:
     return rf"regexp_replace({text}, '\[REDACTED\](?:{S}*\[REDACTED\])+', '{TAG}', 'g')"
 
 
-def redaction(base: str, passes: int = 2, rules: tuple[str, ...] = tuple(RULES), names: str | None = None, dry: bool = False) -> str:
+@lru_cache(1)
+def _compatible() -> tuple[str, str]:
+    """A map from each character with a compatibility decomposition to it, and a class of all that may change."""
+    changing = [c for c in range(0x80, 0x110000) if not 0xAC00 <= c <= 0xD7A3 and not 0xD800 <= c <= 0xDFFF and not unicodedata.is_normalized("NFKC", chr(c))]
+    pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c))) for c in changing]
+    pairs = [(a, b) for a, b in pairs if unicodedata.normalize("NFD", a) != b]
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    keys, values = (", ".join(quoted(p[k]) for p in pairs) for k in (0, 1))
+    return f"MAP([{keys}], [{values}])", f"[{_ranges(changing)}\\p{{M}}\\x{{1160}}-\\x{{11ff}}]"
+
+
+def normalised(source: str, n: int) -> list[str]:
+    """CTEs on{n} (id, text): the compatibility form, and u{n}: for its changed texts where each character cluster came from."""
+    table, changing = _compatible()
+    decomposed = "array_to_string(list_transform(string_split(c, ''), lambda z: coalesce(w.m[z], z)), '')"
+    return [
+        f"w{n} AS MATERIALIZED (SELECT {table} AS m)",
+        f"""c{n} AS MATERIALIZED (SELECT id, cs, list_transform(cs, lambda c: CASE WHEN regexp_matches(c, '{changing}') THEN nfc_normalize({decomposed}) ELSE c END) AS ns
+           FROM (SELECT id, regexp_extract_all(text, '(?s).\\p{{M}}*') AS cs FROM {source} WHERE regexp_matches(text, '{changing}')), w{n} w)""",
+        f"""u{n} AS MATERIALIZED (SELECT *, sum(rl) OVER r - rl AS rs, sum(nl) OVER r - nl AS ns FROM (
+             SELECT id, i, cs[i] = ns[i] AS same, length(cs[i]) AS rl, length(ns[i]) AS nl FROM (SELECT id, cs, ns, unnest(generate_series(1, len(cs))) AS i FROM c{n}))
+           WINDOW r AS (PARTITION BY id ORDER BY i ROWS UNBOUNDED PRECEDING))""",
+        f"on{n} AS (SELECT t.id, coalesce(array_to_string(c.ns, ''), t.text) AS text FROM {source} t LEFT JOIN c{n} c ON c.id = t.id)",
+    ]
+
+
+def stored(source: str, n: int) -> str:
+    """Spans of the compatibility form as spans of the stored text."""
+    at = lambda side, p: f"{side}.id = o.id AND {side}.ns <= {p} AND {p} < {side}.ns + {side}.nl"
+    return f"""SELECT o.id, CAST(coalesce(CASE WHEN a.same THEN a.rs + o.start - a.ns ELSE a.rs END, o.start) AS INT) AS start,
+        CAST(coalesce(CASE WHEN b.same THEN b.rs + o."end" - b.ns ELSE b.rs + b.rl END, o."end") AS INT) AS "end", o.label, o.ord
+      FROM {source} o LEFT JOIN u{n} a ON {at('a', 'o.start')} LEFT JOIN u{n} b ON {at('b', '(o."end" - 1)')}"""
+
+
+def redaction(
+    base: str, passes: int = 2, rules: tuple[str, ...] = tuple(RULES), names: str | None = None, dry: bool = False, normalize: bool = True
+) -> str:
     """CTEs t0, t1, ... (id, text) and g1, g2, ... (merged spans) of chained passes over ``base`` (id, text)."""
     out = [f"t0 AS (SELECT id, text FROM ({base}) WHERE text IS NOT NULL AND NOT {blank('text')})"]
     for n in range(1, passes + 1):
         prev = f"t{n - 1}"
-        union = " UNION ALL ".join(spans(prev, r, names) for r in rules)
+        on = f"on{n}" if normalize else prev
+        union = " UNION ALL ".join(spans(on, r, names) for r in rules)
         out += [
+            *(normalised(prev, n) if normalize else ()),
             f"s{n} AS ({union})",
-            f"k{n} AS ({tag_ranges(prev)})",
+            f"k{n} AS ({tag_ranges(on)})",
             f"""o{n} AS (SELECT s.* FROM s{n} s WHERE NOT EXISTS (SELECT 1 FROM k{n} k WHERE k.id = s.id AND s.start < k.a + {len(TAG)} AND s."end" > k.a))""",
-            f"""f{n} AS (SELECT o.* FROM o{n} o JOIN {prev} t ON t.id = o.id WHERE NOT (
+            f"b{n} AS ({stored(f'o{n}', n) if normalize else f'SELECT * FROM o{n}'})",
+            f"""f{n} AS (SELECT o.* FROM b{n} o JOIN {prev} t ON t.id = o.id WHERE NOT (
                 upper(substr(t.text, o.start + 1, o."end" - o.start)) = substr(t.text, o.start + 1, o."end" - o.start)
                 AND lower(substr(t.text, o.start + 1, o."end" - o.start)) <> substr(t.text, o.start + 1, o."end" - o.start)
                 AND NOT contains(lower(o.label), 'person') AND NOT contains(lower(o.label), 'address')))""",

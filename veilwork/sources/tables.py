@@ -14,11 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give CPU-heavy stages at least one partition a core.
 
-    A large scan already has more splits than cores and is returned untouched (no
-    shuffle).  Only an input of fewer splits than cores, such as one small file with
-    a single row group, is hash-partitioned on ``key``, which is unique or nearly so.
+    Only an input with splits for fewer than half of the cores, such as one small file
+    with a single row group, is hash-partitioned on ``key``, which is unique or nearly so;
+    the shuffle then costs less than the idle cores.  Any larger scan is returned
+    untouched.  The rows are the same either way.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if 2 * df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, F.col(key))
