@@ -336,7 +336,36 @@ def test_abuse_in_short_sentences():
     for t in ("Tel.", "No pain.", "All well.", "Mrs. Fox.", "Danke.", "患者は元気です。熱はない。", "..", "m"):
         assert model.score(t) < model.threshold, t
     seeds = abuse._seed_windows()
-    assert all(s in seeds for t in ("死ね、クズ", "殺してやる", "操你妈，婊子", "ti ammazzo") for s in abuse.sentences(t)) and "死ね" in model.toxic.decode()
+    assert all(s in seeds for t in ("死ね", "殺してやる", "操你妈", "ti ammazzo") for s in abuse.sentences(t)) and "死ね" in model.toxic.decode()
+
+
+#: Runs of four words in the seeds that any text in anger may hold.
+IDIOMS: set[str] = set()
+
+
+def test_seeds_do_not_follow_the_tables(spark):
+    import re
+
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    runs = {" ".join(w[k : k + 4]) for w in map(words, abuse.sentences(abuse.SEEDS)) for k in range(len(w) - 3)} - IDIOMS
+    assert max(len(words(s)) for s in abuse.sentences(abuse.SEEDS)) <= 4
+    for row in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text IS NOT NULL").select("text").toLocalIterator():
+        flat = " ".join(words(row.text))
+        assert not [r for r in runs if f" {r} " in f" {flat} "], row.text[:200]
+
+
+def test_abuse_is_learnt_from_labels(spark):
+    """What no seed holds is found where labelled documents hold it, on the same scale for every window."""
+    fill = [f"The patient in bay {n} slept, ate {w} and asked for the {v}." for n, w in enumerate(("soup", "bread", "rice", "fish")) for v in ("nurse", "radio", "window", "clock")]
+    bad = "may the moths of the cellar gnaw your rotten bones, idiot"
+    docs = [(n, f"{fill[n % 16]} {bad if n % 4 == 0 else fill[(n + 3) % 16]}. {fill[(n + 5) % 16]}", n % 4 == 0) for n in range(200)]
+    d = spark.createDataFrame([(n, t, "s") for n, t, _ in docs] + [(900, None, "s")], "doc_id long, text string, source string")
+    labels = [(n, 1, int(y)) for n, _, y in docs] + [(1, 1, None), (None, 1, 1), (900, 1, 1), (2, 1, 1)]
+    model = abuse.fit_from_tables(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert "moths of the cellar" in model.toxic.decode() and "moths" not in model.ordinary.decode()
+    assert model.score("Then may the moths of the cellar gnaw your rotten bones.") >= model.threshold > model.score(fill[3])
+    empty = abuse.fit_from_tables(d.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert empty.threshold == abuse.DEFAULT_THRESHOLD and empty.score("you idiot") >= empty.threshold
 
 
 def test_abuse_inside_long_sentences():
