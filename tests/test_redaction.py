@@ -335,8 +335,8 @@ def test_names_as_a_table_beyond_the_list(spark, monkeypatch):
 
 def test_lenient_mail_addresses(spark):
     text = "mail a@b.com. Or A@B.COM, c@d.com.x"
-    assert redact_text(spark, text) == "mail a@b.com. Or A@B.COM, [REDACTED]"
-    assert redact_text(spark, text, RedactConfig(strict_email=False)) == "mail [REDACTED]. Or [REDACTED], [REDACTED]"
+    assert redact_text(spark, text) == text
+    assert redact_text(spark, text, RedactConfig(strict_email=False)) == "mail [REDACTED]. Or [REDACTED], c@d.com.x"
 
 
 def test_sized_join(spark, monkeypatch):
