@@ -77,8 +77,8 @@ def _single(cp: int) -> str | None:
 
 
 @lru_cache(1)
-def _tables() -> tuple[dict[int, str], re.Pattern, re.Pattern, re.Pattern]:
-    """Replacements of single characters; patterns of a segment, a word and an unstable character.
+def _tables() -> tuple[dict[int, str], re.Pattern, re.Pattern]:
+    """Replacements of single characters; patterns of an unstable run and of a word.
 
     Built by rule from the Unicode database.
     """
@@ -108,10 +108,9 @@ def _tables() -> tuple[dict[int, str], re.Pattern, re.Pattern, re.Pattern]:
             i = j + 1
         return "".join(out)
 
-    either = body(sorted(unstable + marks))
-    # One character of context, then the unstable run with the marks that follow it.
-    segment = re.compile(f"(?s:.)?[{either}]+")
-    return single, segment, re.compile(r"[^\W\d_](?:[^\W\d_]|[\u0300-\u036f])*"), re.compile(f"[{either}]")
+    # An unstable run with the marks that follow it.
+    segment = re.compile(f"[{body(sorted(unstable + marks))}]+")
+    return single, segment, re.compile(r"[^\W\d_]+(?:[\u0300-\u036f]+[^\W\d_]*)*")
 
 
 _OTHER_SCRIPT = re.compile("[\u0370-\u03ff\u0400-\u052f\u1f00-\u1fff]")
@@ -145,8 +144,11 @@ _ONLY_LATIN = {
 
 def _word(m: re.Match) -> str:
     word = m.group()
-    if word.isascii():
-        return word
+    return word if word.isascii() else _in_one_script(word)
+
+
+@lru_cache(65536)
+def _in_one_script(word: str) -> str:
     script = _script(word)
     if script == "C":
         return unicodedata.normalize("NFC", unicodedata.normalize("NFD", word).translate(_TO_CYRILLIC))
@@ -155,19 +157,32 @@ def _word(m: re.Match) -> str:
     return word
 
 
+_known: dict[str, str] = {}  # forms of short segments
+
+
 def canonical(text: str) -> str:
     """The canonical form of one text."""
     if text.isascii():
         return text
-    single, segment, words, unstable = _tables()
-    if unstable.search(text) is None:
+    single, segment, words = _tables()
+    if segment.search(text) is None:
         return words.sub(_word, text) if _OTHER_SCRIPT.search(text) else text
 
-    def one(m: re.Match) -> str:
-        part = unicodedata.normalize("NFD", m.group().translate(single)).translate(_TO_LATIN)
-        return unicodedata.normalize("NFC", part)
-
-    out = segment.sub(one, text)
+    parts, done = [], 0
+    for m in segment.finditer(text):
+        at, to = m.span()
+        at = max(done, at - 1)  # one character of context
+        part = text[at:to]
+        form = _known.get(part)
+        if form is None:
+            form = unicodedata.normalize("NFC", unicodedata.normalize("NFD", part.translate(single)).translate(_TO_LATIN))
+            if len(_known) > 65536:
+                _known.clear()
+            if len(part) < 16:
+                _known[part] = form
+        parts += (text[done:at], form)
+        done = to
+    out = "".join((*parts, text[done:]))
     if out.isascii():
         return out
     # A removed character may have stood between a base and the mark spliced after it.
