@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilwork.functions.durable import durable
+from veilwork.functions.join import SALTS, sized_join
 from veilwork.functions.text import has_non_ascii, is_blank
 from veilwork.sources.tables import spread, table
 
@@ -199,47 +200,75 @@ def _canonical_udf(texts: pa.Array) -> pa.Array:
 def canonicalize(df: DataFrame, column: str = "text", to: str = "canonical") -> DataFrame:
     """Add ``to``, the canonical form of ``column``; ASCII rows bypass Python."""
     text = F.col(column)
-    return df.withColumn(to, F.coalesce(_canonical_udf(F.when(has_non_ascii(text), text)), text))
+    return df.withColumn(to, F.coalesce(_canonical_udf.asNondeterministic()(F.when(has_non_ascii(text), text)), text))
+
+
+def _forms(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(id, c1, c2, r1, r2): 128-bit digests of the canonical and the stored form of each row, checkpointed."""
+    base = df.select(F.col(key).alias("id"), F.col(column).alias("text"))
+    base = base.where(F.col("id").isNotNull() & ~is_blank(F.col("text")))
+    digest = lambda c, n: (F.xxhash64(c).alias(f"{n}1"), F.xxhash64(F.lit(1), c).alias(f"{n}2"))
+    return durable(canonicalize(spread(base, "id")).select("id", *digest("canonical", "c"), *digest("text", "r")))
 
 
 def equal_pairs(df: DataFrame, key: str = "id", column: str = "text") -> DataFrame:
     """Pairs of rows with equal canonical form and different code points (``id_a`` < ``id_b``).
 
-    Rows are reduced to two 128-bit digests before any shuffle.  A map-side aggregate
-    finds the canonical forms that occur in more than one stored form, so groups of
-    exact copies, however large, end there; only members of mixed groups are joined.
-    Rows with a null key or a null or blank text form no pair.
+    Rows are reduced to digests before any shuffle, and a map-side aggregate leaves one row
+    a stored form.  Forms are paired first, so each joined pair is a result; then their
+    rows are looked up, with a salt, so a form with a third of all rows is spread.  Groups
+    of exact copies end at the aggregate.  Rows with a null key or a null or blank text
+    form no pair; a key that repeats pairs only with greater and smaller ones.
     """
-    base = df.select(F.col(key).alias("id"), F.col(column).alias("text"))
-    base = base.where(F.col("id").isNotNull() & ~is_blank(F.col("text")))
-    forms = canonicalize(spread(base, "id")).select(
-        "id", F.unhex(F.md5(F.col("canonical"))).alias("ck"), F.unhex(F.md5(F.col("text"))).alias("rk")
-    )
-    forms = durable(forms)
-    mixed = forms.groupBy("ck").agg(F.min("rk").alias("lo"), F.max("rk").alias("hi")).where("lo <> hi").select("ck")
-    members = forms.join(mixed, "ck", "left_semi")
-    a = members.select("ck", F.col("id").alias("id_a"), F.col("rk").alias("rk_a"))
-    b = members.select("ck", F.col("id").alias("id_b"), F.col("rk").alias("rk_b"))
-    return a.join(b, "ck").where("rk_a <> rk_b AND id_a < id_b").select("id_a", "id_b")
+    forms = _forms(df, key, column)
+    distinct = forms.groupBy("c1", "c2", "r1", "r2").agg(F.lit(1).alias("one"))
+    mixed = durable(distinct.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2"))
+    members = sized_join(forms, mixed, ["c1", "c2"], "left_semi")
+    reps = members.select("c1", "c2", "r1", "r2").distinct()
+    other = reps.select("c1", "c2", F.col("r1").alias("q1"), F.col("r2").alias("q2"))
+    pairs = reps.join(other, ["c1", "c2"]).where("r1 < q1 OR r1 = q1 AND r2 < q2").drop("c1", "c2")
+    salted = members.select("r1", "r2", F.col("id").alias("id_a"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+    spread_ = lambda p: p.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    left = spread_(pairs).join(salted, ["r1", "r2", "salt"]).select("q1", "q2", "id_a")
+    right = salted.select(F.col("r1").alias("q1"), F.col("r2").alias("q2"), F.col("id_a").alias("id_b"), "salt")
+    both = spread_(left).join(right, ["q1", "q2", "salt"]).where("id_a <> id_b")
+    return both.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+
+
+def equal_classes(df: DataFrame, key: str = "id", column: str = "text") -> DataFrame:
+    """(key, class_id, n_forms, n_links): each row with the least key of its class and the number of rows it pairs with.
+
+    For tables whose classes are too large to write all pairs.
+    """
+    forms = _forms(df, key, column)
+    form = forms.groupBy("c1", "c2", "r1", "r2").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
+    whole = form.groupBy("c1", "c2").agg(F.min("least").alias("class_id"), F.count(F.lit(1)).alias("n_forms"), F.sum("n").alias("total"))
+    known = durable(form.join(whole, ["c1", "c2"]).select("c1", "c2", "r1", "r2", "class_id", "n_forms", (F.col("total") - F.col("n")).alias("n_links")))
+    found = sized_join(forms, known, ["c1", "c2", "r1", "r2"])
+    return found.select(F.col("id").alias(key), "class_id", "n_forms", "n_links")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equal_pairs(table(spark, sf_dir, "test"))
 
 
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return equal_classes(table(spark, sf_dir, "test"))
+
+
 def p3_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonicalize(spread(table(spark, sf_dir, "test").select("id", "text"), "id")).select("id", "canonical")
 
 
-QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical}
+QUERIES = {"p3_found": p3_found, "p3_classes": p3_classes, "p3_canonical": p3_canonical}
 
 
 def _sql_chars(cps: list[int]) -> str:
     return " || ".join(f"chr({c})" for c in cps)
 
 
-def _oracle_found() -> str:
-    """The same pairs by plain character translation of whole texts."""
+def _oracle() -> str:
+    """Canonical forms by plain character translation of whole texts."""
     accents = [c for c in range(0x00C0, 0x0530) if len(d := unicodedata.normalize("NFD", chr(c))) > 1 and ord(d[0]) in _TO_LATIN]
     composed = [(c, unicodedata.normalize("NFC", unicodedata.normalize("NFD", chr(c)).translate(_TO_LATIN))) for c in accents]
     composed = [(c, d) for c, d in composed if len(d) == 1]
@@ -248,11 +277,14 @@ def _oracle_found() -> str:
     pairs = [*_TO_LATIN.items(), *composed, *wide, *spaces, (0xB5, "μ")]
     src, dst = _sql_chars([p[0] for p in pairs]), _sql_chars([ord(p[1]) for p in pairs])
     zw = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in WIDTHLESS)
-    return f"""
-WITH k AS (
+    return f"""WITH k AS (
   SELECT id, text, nfc_normalize(translate(nfc_normalize(regexp_replace(text, '[{zw}]', '', 'g')), {src}, {dst})) AS ck
-  FROM test WHERE text IS NOT NULL AND NOT regexp_full_match(text, '(?s)[\\s\\x1c-\\x1f\\x85\\xa0\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]*'))
-SELECT a.id AS id_a, b.id AS id_b FROM k a JOIN k b ON a.ck = b.ck AND a.id < b.id AND a.text <> b.text"""
+  FROM test WHERE text IS NOT NULL AND NOT regexp_full_match(text, '(?s)[\\s\\x1c-\\x1f\\x85\\xa0\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]*'))"""
 
 
-ORACLE = {"p3_found": _oracle_found()}
+ORACLE = {
+    "p3_found": f"{_oracle()} SELECT a.id AS id_a, b.id AS id_b FROM k a JOIN k b ON a.ck = b.ck AND a.id < b.id AND a.text <> b.text",
+    "p3_classes": f"""{_oracle()}, f AS (SELECT ck, text, count(*) AS n, min(id) AS least FROM k GROUP BY ck, text),
+      w AS (SELECT ck, min(least) AS class_id, count(*) AS n_forms, sum(n) AS total FROM f GROUP BY ck)
+      SELECT k.id, w.class_id, w.n_forms, CAST(w.total - f.n AS BIGINT) AS n_links FROM k JOIN f ON f.ck = k.ck AND f.text = k.text JOIN w ON w.ck = k.ck""",
+}

@@ -102,7 +102,7 @@ def split_pieces(df: DataFrame, column: str = "text", limit: int = LIMIT, overla
     """
     text = F.col(column)
     whole = F.array(F.struct(F.lit(0).alias("from"), F.coalesce(F.char_length(text), F.lit(0)).alias("to")))
-    bounds = F.coalesce(_cut_udf(limit, overlap)(F.when(F.char_length(text) > limit, text)), whole)
+    bounds = F.coalesce(_cut_udf(limit, overlap).asNondeterministic()(F.when(F.char_length(text) > limit, text)), whole)
     rest = [c for c in df.columns if c not in (column, "piece_no", "n_pieces", "start", "end", "piece", "_bounds", "_b")]
     return (
         df.select(*rest, text.alias(column), bounds.alias("_bounds"))
