@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilwork.functions.durable import durable
+from veilwork.functions.join import sized_join
 from veilwork.functions.text import is_blank
 
 COLUMNS = ("id", "text", "facility", "note_type", "age", "written_at")
@@ -129,12 +131,15 @@ def failed_records(df: DataFrame, key: str = "raw_id", raw: str = "raw") -> Data
 
 
 def load_valid(df: DataFrame, key: str = "raw_id", raw: str = "raw") -> DataFrame:
-    """Typed rows of the valid records: the anti-join of all records with the failed ones."""
+    """Typed rows of the valid records: the anti-join of all records with the failed ones.
+
+    The failed ones are counted: while few, they are broadcast and no record is shuffled.
+    """
     parsed = parse_records(df, key, raw)
-    errors = record_errors(parsed).select(F.col("key").alias("bad_key"), F.col("digest").alias("bad_digest"))
-    clean = parsed.join(
-        errors, F.col("key").eqNullSafe(F.col("bad_key")) & (F.col("digest") == F.col("bad_digest")), "left_anti"
-    )
+    # A null key is a key of its own, and equal digests make equal records.
+    known = lambda d: d.withColumns({"_null": F.col("key").isNull(), "_key": F.coalesce(F.col("key").cast("string"), F.lit(""))})
+    errors = durable(known(record_errors(parsed)).select("_null", "_key", "digest").distinct())
+    clean = sized_join(known(parsed), errors, ["_null", "_key", "digest"], "left_anti")
     cell = {c: F.element_at("cells", i + 1) for i, c in enumerate(COLUMNS)}
     return clean.select(
         F.col("key").alias(key),
