@@ -12,7 +12,7 @@ WIDE = "".join(chr(ord(c) + 0xFEE0) for c in "Chen10")
 
 # ---- 1: wrong encoding -----------------------------------------------------------------
 
-def test_mojibake_found_and_restored(spark):
+def test_mojibake_found_and_restored(spark, monkeypatch):
     clean = ["Körper übel, café “ok” – naïve", "mañana está, Ménière", "привет больной", "Sjögren über Körper"] * 4
     bad = {
         100: ("Körper übel".encode().decode("cp1252"), "Körper übel"),
@@ -29,7 +29,28 @@ def test_mojibake_found_and_restored(spark):
     df = spark.createDataFrame(rows, "id long, text string, unit string")
     assert {r.id for r in mojibake.find_garbled(df).collect()} == set(bad)
     restored = {r.id: r.text for r in mojibake.restore(df).collect()}
-    assert {n: restored[n] for n in bad} == {n: t for n, (_, t) in bad.items()}
+    assert {n: restored[n] for n in bad} == {n: t for n, (_, t) in bad.items()} and set(restored) == set(bad)
+    monkeypatch.setattr(mojibake, "BROADCAST_ROWS", 0)  # beyond the bound the fixes are joined
+    joined = {r.id: r.text for r in mojibake.restore(df.unionByName(spark.createDataFrame([(None, bad[100][0], "x")], df.schema))).collect()}
+    assert joined == restored | {None: bad[100][1]}
+
+
+def test_units_inside_longer_words_stay():
+    words, runs = {"StraЯe": "Straße"}, {"Ã©": "é"}
+    assert mojibake.repaired("XXStraЯeYY StraЯe, cafÃ© Ã©", words, runs) == "XXStraЯeYY Straße, café é"
+
+
+def test_quoted_accent_is_not_garbled(spark):
+    """An accent before a closing quote reads like the bytes of an ideograph, which is rarer."""
+    rows = [(n, f"a “café” and more {n}") for n in range(40)] + [(50, "锚 one"), (51, "锚 two")]
+    assert mojibake.find_garbled(spark.createDataFrame(rows, "id long, text string")).collect() == []
+
+
+def test_pruned_chains_lose_no_form_of_known_characters():
+    known = frozenset("Ã©Â±¤茅CafKörperübel“”–â€œ™éñ�" + "".join(map(chr, range(128))))
+    for unit in ("Café", "Körper", "“", "mañana", "—", "привет", "é"):
+        full = {f: c for f, c in mojibake.garbled_forms(unit).items() if known.issuperset(f)}
+        assert {f: c for f, c in mojibake.garbled_forms(unit, known).items() if known.issuperset(f)} == full, unit
 
 
 def test_mojibake_empty_table(spark):

@@ -11,7 +11,8 @@ restoration substitutes the verified originals, longest unit first.
 
 Verification:
 - a UTF-8 chain makes text longer, so a match needs two characters or more, or a word
-  that mixes ASCII letters with the garbled ones;
+  that mixes ASCII letters with the garbled ones; a form of two characters may also be
+  ordinary text, so its original must occur in at least as many rows;
 - a form with U+FFFD is garbled wherever it stands;
 - a chain that keeps the length (between single-byte encodings, or to an East Asian one)
   is reversible, so only whole words count and the original must occur in at least three
@@ -23,6 +24,7 @@ judged alike; a null key stays a key; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,9 +32,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilwork.functions.durable import durable
-from veilwork.functions.join import sized_join
+from veilwork.functions.join import BROADCAST_ROWS, sized_join
 from veilwork.functions.text import has_non_ascii
 from veilwork.llm.lookalike import CYRILLIC, GREEK
 from veilwork.sources.tables import spread, table
@@ -76,21 +79,43 @@ def _read(raw: bytes, encoding: str) -> set[str]:
         return out
 
 
+#: Single-byte encodings, of which a byte tells whether its character may occur.
+_SINGLE_BYTE = frozenset({*UTF8_READ_AS, *READ_AS} - {"gbk", "big5", "shift_jis", "euc_jp", "euc_kr", "utf_8"})
+
+
+@lru_cache(8)
+def _allowed(known: frozenset[str]) -> dict[str, bytes]:
+    """By single-byte encoding the bytes that are undefined or read as a character (in either case) of ``known``."""
+    either = known | {c.lower() for c in known} | {c.upper() for c in known}
+    out = {}
+    for e in _SINGLE_BYTE:
+        read = {b: bytes((b,)).decode(e, "ignore") for b in range(256)}
+        out[e] = bytes(b for b, c in read.items() if not c or c in either or c == "\xa0")
+    return out
+
+
 def garbled_forms(unit: str, known: frozenset[str] | None = None, swaps: bool = True) -> dict[str, str]:
     """Garbled form to chain class: ``utf8`` or ``swap``.
 
-    ``known``: the characters of the corpus; other forms cannot occur.  ``swaps`` False
-    leaves out reversible chains, of which a unit in fewer than three rows is no original.
+    ``known``: the characters of the corpus; other forms cannot occur, and where a byte
+    reads as a character beyond them the chain is left at once.  ``swaps`` False leaves
+    out reversible chains, of which a unit in fewer than three rows is no original.
     """
     out: dict[str, str] = {}
     raw = unit.encode("utf-8")
+    allowed = _allowed(known) if known is not None else {}
+    cannot = lambda data, e: e in allowed and data.translate(None, allowed[e])
     for encoding in UTF8_READ_AS:
+        if encoding not in READ_TWICE and cannot(raw, encoding):
+            continue
         once = _read(raw, encoding)
         twice: set[str] = set()
         if encoding in READ_TWICE:
             for form in once:
+                data = form.encode("utf-8")
                 for again in READ_TWICE:
-                    twice |= _read(form.encode("utf-8"), again)
+                    if not cannot(data, again):
+                        twice |= _read(data, again)
         for form in once | twice:
             if known is not None and not known.issuperset(form):
                 continue
@@ -106,7 +131,7 @@ def garbled_forms(unit: str, known: frozenset[str] | None = None, swaps: bool =
         except UnicodeEncodeError:
             continue
         for target in READ_AS if swaps else ("utf_8",):
-            if target != source:
+            if target != source and not cannot(raw, target):
                 for form in _read(raw, target):
                     out.setdefault(form, "swap")
     out.pop(unit, None)
@@ -171,6 +196,7 @@ def _verified(kind: Column, form: Column, chain: Column, n_original: Column, n_f
     # Runs of look-alike letters and odd spaces are disguised ASCII, not garbled text.
     disguise = (size <= 3) & form.rlike(f"\\A[{CYRILLIC}{GREEK}\\p{{Z}}]+\\z")
     growth = F.when(kind == "n", (size >= 2) & ~disguise).otherwise(((size >= 2) | mixed) & ~disguise)
+    growth = growth & ((size > 2) | (n_original >= n_form))
     east_asian = form.rlike("[\u3000-\u9fff\uac00-\ud7a3\uff61-\uff9f]")
     long_enough = (mixed & ((size >= 3) | ((size >= 2) & east_asian))) | (size >= 4)
     swap = (kind == "w") & long_enough & (n_original >= 3) & (n_original >= 3 * n_form)
@@ -210,25 +236,65 @@ def find_garbled(df: DataFrame, key: str = "id", column: str = "text") -> DataFr
     return sized_join(units, durable(bad), ["kind", "unit"], "left_semi").select(F.col("id").alias(key)).distinct()
 
 
+_WORD = re.compile(r"[^\x00-/:-@\[-`{-\x7f]+")
+_RUN = re.compile(_BEYOND_ASCII)
+
+
+def repaired(text: str, words: dict[str, str], runs: dict[str, str]) -> str:
+    """Every unit that is known to be garbled replaced by its original: whole words, and runs inside other words."""
+
+    def word(m: re.Match) -> str:
+        w = m.group()
+        if w.isascii():
+            return w
+        own = words.get(w)
+        return own if own is not None else _RUN.sub(lambda r: runs.get(r.group(), r.group()), w)
+
+    return _WORD.sub(word, text)
+
+
+@F.arrow_udf(T.StringType())
+def _repaired_by_row(texts: pa.Array, fixes: pa.Array) -> pa.Array:
+    out = []
+    for t, own in zip(texts.to_pylist(), fixes.to_pylist()):
+        by_kind = [{f["unit"]: f["original"] for f in own or () if f["kind"] == kind and f["original"] is not None} for kind in "wn"]
+        out.append(None if t is None else repaired(t, *by_kind))
+    return pa.array(out, pa.string())
+
+
 def restore(df: DataFrame, key: str = "id", column: str = "text") -> DataFrame:
-    """(key, text) of the found rows with every garbled unit of known original replaced."""
-    units = row_units(df, key, column)
-    bad = garbled_dictionary(units)
-    fixes = (
-        sized_join(units, durable(bad), ["kind", "unit"])
-        .groupBy("id")
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct((F.col("kind") != "w").alias("later"), (-F.char_length("unit")).alias("order"), "unit", "original")
-                )
-            ).alias("fixes")
-        )
-    )
-    text = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(column).alias("text"))
-    known = F.filter("fixes", lambda f: f["original"].isNotNull())
-    fixed = F.aggregate(known, F.col("text"), lambda t, f: F.replace(t, f["unit"], f["original"]))
-    return text.join(fixes, "id").select(F.col("id").alias(key), fixed.alias(column))
+    """(key, text) of the found rows with every garbled unit of known original replaced.
+
+    The garbled units are counted.  Up to ``BROADCAST_ROWS`` they are shipped as a
+    dictionary and looked up word by word where the text stands: no text is shuffled.
+    Beyond that the units of each row are joined with them and the fixes brought to the
+    text by key and digest.  A null key is a key of its own either way.
+    """
+    bad = durable(garbled_dictionary(row_units(df, key, column)))
+    text = df.where(has_non_ascii(F.col(column))).select(F.col(key).alias("id"), F.col(column).alias("text"))
+    few = bad.limit(BROADCAST_ROWS + 1).collect()
+    if len(few) <= BROADCAST_ROWS:
+        found = [{r.unit: r.original for r in few if r.kind == kind} for kind in "wn"]
+        known = df.sparkSession.sparkContext.broadcast([{u: o for u, o in d.items() if o is not None} for d in found] + [frozenset(d) for d in found])
+
+        @F.arrow_udf(T.StringType())
+        def run(texts: pa.Array) -> pa.Array:
+            words, runs, bad_words, bad_runs = known.value
+            out = []
+            for t in texts.to_pylist():
+                hit = t is not None and not (bad_words.isdisjoint(_WORD.findall(t)) and bad_runs.isdisjoint(_RUN.findall(t)))
+                out.append(repaired(t, words, runs) if hit else None)
+            return pa.array(out, pa.string())
+
+        fixed = spread(text, "id").select("id", run.asNondeterministic()("text").alias("text")).where("text IS NOT NULL")
+        return fixed.select(F.col("id").alias(key), F.col("text").alias(column))
+    row = lambda d: d.withColumns({"_null": F.col("id").isNull(), "_key": F.coalesce(F.col("id").cast("string"), F.lit(""))})
+    at = ["_null", "_key", "_digest"]
+    text = row(text).withColumn("_digest", F.xxhash64("text"))
+    units = text.select(*at, F.explode(_units(F.col("text"))).alias("u")).select(*at, "u.kind", "u.unit")
+    fixes = sized_join(units, bad, ["kind", "unit"]).groupBy(*at).agg(F.collect_set(F.struct("kind", "unit", "original")).alias("fixes"))
+    fixed = text.join(fixes, at).select("id", _repaired_by_row.asNondeterministic()("text", "fixes").alias("text"))
+    return fixed.select(F.col("id").alias(key), F.col("text").alias(column))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
