@@ -3,7 +3,7 @@
 Chain part: every token type contributes a score vector at each window offset, plus a few
 positional features, plus label transitions; it is fitted by maximum likelihood.  Skip
 part: distant tokens of one document with the same or a similar form share a potential
-that rewards equal entity kinds; inference passes messages along these links and along
+over their two labels; inference passes messages along these links and along
 the chain in turn (loopy belief propagation) until the rounds are over.
 """
 
@@ -29,7 +29,9 @@ class SkipChainCRF:
         self.position_weights = np.zeros((0, len(labels)))
         self.trans = np.zeros((len(labels), len(labels)))
         self.start = np.zeros(len(labels))
-        self.skip = 1.0
+        self.skip = 0.5
+        #: Log potential of two linked tokens by their labels; None rewards equal kinds.
+        self.pair: np.ndarray | None = None
         self._rows: dict[str, int] = {}
         self._table = np.zeros((0, len(OFFSETS), len(labels)), np.float32)
         self._used = 0
@@ -164,42 +166,55 @@ class SkipChainCRF:
                         self._table[row, k] += self.weights[i]
         return row
 
-    def emissions(self, tokens: list[str], extra: list[tuple[int, str]]) -> np.ndarray:
-        """Scores (token, label); extra: (token position, positional feature)."""
+    def emissions(self, docs: list[tuple[list[str], list[tuple[int, str]]]]) -> list[np.ndarray]:
+        """Scores (token, label) of each document; docs: (tokens, (token position, positional feature)).
+
+        All documents of a batch are scored together, with blank rows between them that
+        no offset crosses.
+        """
         if self._used > 200_000:
             self._rows, self._used = {}, 0
             self._table = np.zeros((0, *self._table.shape[1:]), np.float32)
-        rows = np.fromiter(map(self._row, tokens), np.int64, len(tokens))
-        out = np.zeros((len(tokens), len(self.labels)), np.float32)
+        gap = max(OFFSETS)
+        rows, firsts, at, features = [], [], [], []
+        index, size = self.position_index, gap
+        for tokens, extra in docs:
+            firsts.append(size)
+            rows.extend(map(self._row, tokens))
+            rows.extend((-1,) * gap)
+            for p, f in extra:
+                if (i := index.get(f)) is not None:
+                    at.append(size + p)
+                    features.append(i)
+            size += len(tokens) + gap
+        ids = np.concatenate((np.full(gap, -1), np.array(rows, np.int64), np.full(gap, -1)))
+        table = np.concatenate((self._table[: self._used], np.zeros((1, *self._table.shape[1:]), np.float32)))
+        ids[ids < 0] = self._used
+        out = np.zeros((len(ids), len(self.labels)), np.float32)
         for k, o in enumerate(OFFSETS):
-            part = self._table[rows, k]
-            if o == 0:
-                out += part
-            elif abs(o) < len(tokens):
-                if o < 0:
-                    out[-o:] += part[:o]
-                else:
-                    out[:-o] += part[o:]
-        known = [(p, self.position_index[f]) for p, f in extra if f in self.position_index]
-        if known:
-            at, f = np.array(known).T
-            np.add.at(out, at, POSITION_VALUE * self.position_weights[f])
-        return out
+            out[gap : len(ids) - gap] += table[ids[gap + o : len(ids) - gap + o], k]
+        if at:
+            known = self.position_weights[features] * POSITION_VALUE
+            for k in range(len(self.labels)):
+                out[:, k] += np.bincount(at, known[:, k], len(ids)).astype(np.float32)
+        return [out[a : a + len(tokens)] for a, (tokens, _) in zip(firsts, docs)]
 
     def marginals(self, docs: list[tuple[np.ndarray, list[tuple[int, int]]]], kinds: np.ndarray, rounds: int = 3) -> list[np.ndarray]:
         """Label marginals of each document; docs: (emissions, skip links); kinds[label]: entity kind or 0."""
         out = self._chains([e for e, _ in docs])
-        # A link matters only where one of its ends may be an entity at all.
+        # Links matter only among tokens that are linked, directly or not, to one that may be an entity at all.
         links_of = {}
         for i, (_, links) in enumerate(docs):
             if links:
                 ends = np.array(links)
                 open_ = 1 - out[i][:, kinds == 0].sum(1) > 0.02
-                if len(ends := ends[open_[ends[:, 0]] | open_[ends[:, 1]]]):
+                while (fresh := ends[open_[ends[:, 0]] != open_[ends[:, 1]]]).size:
+                    open_[fresh] = True
+                if len(ends := ends[open_[ends[:, 0]]]):
                     links_of[i] = ends
         linked = list(links_of)
-        same = (kinds[:, None] == kinds[None, :]) & (kinds[:, None] > 0)
-        potential = np.exp(self.skip * same)
+        pair = self.pair if self.pair is not None else ((kinds[:, None] == kinds[None, :]) & (kinds[:, None] > 0)).astype(float)
+        potential = np.exp(self.skip * pair)
         state = {i: np.ones((len(links_of[i]), 2, len(self.labels))) for i in linked}
         for _ in range(rounds if linked and self.skip else 0):
             fields = []
@@ -223,7 +238,7 @@ class SkipChainCRF:
         """Forward-backward over chains of any length, in blocks that are batched by length.
 
         A block is computed with ``CONTEXT`` tokens on either side, beyond which a chain has
-        forgotten its ends.  With ``before`` and ``touched`` only blocks near the touched
+        forgotten its ends (a test compares blocks with whole chains).  With ``before`` and ``touched`` only blocks near the touched
         tokens are computed anew.
         """
         out = [np.zeros(e.shape) for e in emissions] if before is None else before

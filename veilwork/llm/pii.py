@@ -12,6 +12,8 @@ The model is trained from the labelled sample of the data (expected texts aligne
 their notes, at most ``SAMPLE`` rows in the order of a hash of the id) together with the
 annotated sentences below, so it also works where the sample is tiny or empty.  The
 trained weights are broadcast: their number is bounded by the sample, not by the data.
+The potential of a link comes from the labels that linked tokens bear in the sample, its
+strength (none allowed) from notes that the model has not seen.
 
 Null, empty and blank texts hold nothing and stay as they are.  Existing ``[REDACTED]``
 tags are no entity.  Repeated rows are judged alike.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,12 @@ from veilwork.sources.tables import spread, table
 
 #: Most labelled rows that the model is trained on.
 SAMPLE = 1500
+#: Longest stretch behind a tag, in characters; a longer one says that text and expected text do not fit there.
+LONGEST = 160
+#: Most known names of each list that are features, in the order of a hash.
+NAMES = 200_000
+#: Strengths of the skip potential that are tried on held-out notes.
+STRENGTHS = (0.0, 0.1, 0.25, 0.5, 1.0)
 #: Least marginal probability of a token to belong to an entity.
 THRESHOLD = 0.12
 KINDS = ("NAME", "EMAIL", "PHONE", "ID_NUMBER", "ADDRESS")
@@ -61,57 +70,57 @@ for _name, _words in CUES.items():
     for _w in _words.split():
         _CUE_OF.setdefault(_w, []).append(f"cue:{_name}")
 
-# Annotated sentences, {kind|stretch}; invented.
+# Annotated sentences, {kind|stretch}; written from general knowledge of how such things are mentioned, not from any table.
 SEEDS = """
-Seen with her husband {NAME|Peter Hallow} today. Wife ({NAME|Nora Quell}) present throughout.
-Discussed with Dr. {NAME|Vasquez}. Reviewed by {NAME|HALLOW, PETER} on the late round.
-DWR {NAME|Imbert} DWA. Mr. {NAME|Okafor} and the team agreed. Under the care of Nurse {NAME|Lind} since May.
-Letter dictated by {NAME|J. P. Imbert}. cc {NAME|nora quell-hallow}. Signed: {NAME|Aisha B. Okafor}, MD
-Herr {NAME|Lindner} lehnt ab. Frau {NAME|Petra Auer} begleitet den Sohn. gez. {NAME|Karl von Auer}
-Mme {NAME|Imbert} accompagne sa mère. Patient vu ce jour : {NAME|Luc Imbert}. Courrier signé par {NAME|Jeanne d'Arvieu}.
-Paciente: {NAME|VASQUEZ, PABLO}. La hija, {NAME|Elena Vasquez}, acompaña. Firmado: {NAME|Pablo O'Neill}
-{NAME|Peter Hallow}: "I feel worse than ever." {NAME|Quell} called again. Next of kin is {NAME|Nora}.
-E-mail: {EMAIL|nora.quell@mail.example} most evenings. Write to <{EMAIL|p.hallow+clinic@post.example.org}> please.
-Portal login {EMAIL|hallow_p AT mail DOT example DOT org} was reset. Reachable at {EMAIL|okafor77 (at) clinic [dot] test}.
-Écrire à {EMAIL|luc.imbert.4@courrier.example}. Correo: {EMAIL|PABLO@CORREO.TEST} Bitte an {EMAIL|auer @ post.example} schreiben.
-Call {PHONE|+1 (555) 555-0199} after six. Fax {PHONE|020 7946 0999}. Cell={PHONE|555.555.0142}
-Tel. {PHONE|030/23125000}, abends. Tél. {PHONE|01 99 00 12 34}. Llamar al {PHONE|+34 100 00 12 34}. Mobile {PHONE|07700900123}; landline unknown.
-Left a voicemail on {PHONE|5555550123}. {PHONE|(555)555-0150 ext. 88} is the best number. Portable : {PHONE|+33 1 99 00 12 34}, le soir.
-MRN {ID_NUMBER|4412345} checked. MRN#{ID_NUMBER|00412345} seen. SSN: {ID_NUMBER|900-12-3456}. Record under NI number {ID_NUMBER|QQ 12 34 56 C}.
-Copy of passport {ID_NUMBER|X12345678} kept. (driving licence {ID_NUMBER|ZZ123456A12}) insurance member ID {ID_NUMBER|XQ123-123456}. Label shows hospital number {ID_NUMBER|H123456} twice.
-Identidad comprobada (DNI {ID_NUMBER|12345678-Z}) Akte, Versichertennummer {ID_NUMBER|A000123456}. n° de sécurité sociale {ID_NUMBER|1 99 10 00 123 456 78}.
-Identity confirmed by {ID_NUMBER|900-12-3456}. Claim filed under SSN {ID_NUMBER|900123456}.
-Lives at {ADDRESS|12 Elm Street}. Moved from {ADDRESS|401B Harbour Road, Westford KT} last spring. Post: {ADDRESS|Flat 2, 77 Mill Lane, Westford, KT 00123}
-Wohnhaft {ADDRESS|Gartenweg 12b, 00123 Neustadt}. Domicile : {ADDRESS|14 rue du Moulin, 00123 Valmont}. Domicilio: {ADDRESS|Calle Mayor 12, 2.º B, 00123 Villanueva}
-Home address: {ADDRESS|9 Oak Ct, Apt 4B, Westford, KT 00123} Anschrift: {ADDRESS|Am Bach 3, 00123 Altdorf}
-Deliver it to {ADDRESS|31 Station Road, Westford} please. Keys kept by the neighbour, {ADDRESS|8 old mill drive, westford}.
-Found on the steps of {ADDRESS|210 Fourth Ave}. Discharged to {ADDRESS|55A Church Terrace, Upper Westford KT} with support. Retour prévu au {ADDRESS|Flat 3, 9 Park Court, Westford}.
-Domicilio: {ADDRESS|Avda. de la Estación 5, 3.º izq., 00123 Villanueva} Alta a {ADDRESS|C/ Olivo 7, 00123 Villanueva}. Entlassung nach {ADDRESS|Bahnhofstraße 9, 00123 Altdorf}.
-Thank you for sending {NAME|karl auer} to our clinic. {NAME|A. O'Hallow} lives alone. Spoke with the daughter, {NAME|Elena}, on the ward. {NAME|J. de Auer}: "no, thanks".
-Catalogue no. 555-10-1200 gauze, 10 x 10. Paid by cheque, form 1234-B, room 2204, extension cord replaced.
-Seen on {DATE|03/04/2023} and again on {DATE|11-05-2024}. Result dated {DATE|1/2/2022}: 14.2, previously 13.
-Batch F123456 of insulin recalled, ticket INC123456, form L123-456-78. Order 12345678 released, accession A-123456-12.
-Pump serial 123456789012. Ref range 9-123456 per ml, specimen 1234567890, tube 12-34. Sheet K1234567. Printout B1234567.
-Sjögren serology negative. Ménière disease excluded. Romberg test normal, Apgar scores on file. Glasgow Coma Scale 15.
-Referred by Westford General to the diabetes clinic. St Mary Infirmary rang. Old Harbour Street Market hall, Lane 5 of the gym, room 2204.
-Rose petals, a will to walk, May be better in June. The stone passed. Mark the field. Joy at the news. Jack of the bed broken.
-BP 120/80, pulse 70, temperature 36.6. Takes metformin 500 mg twice daily, morphine 2 mg @ 08:00 and again @ 14:30.
-Earlier copy: [REDACTED] seen with [REDACTED] at the desk. Drops in the eyes, Ward 12 North, Bed 4, bay 3.
+My name is {NAME|Clara Benning} and my brother is {NAME|Tom Benning}. Our doctor, Dr. {NAME|Yilmaz}, knows us well.
+Interview with Mrs {NAME|Adaeze Obi}, then with Mr. {NAME|Obi}. {NAME|Obi, Adaeze} signed the consent form. Nurse {NAME|Fenn} was there.
+Prof. {NAME|H. J. Marlow} operated, assisted by {NAME|Priya Nair}, MD. Regards, {NAME|marlow}. Minutes taken by {NAME|P. Nair}.
+The son ({NAME|Lewis}) and his aunt {NAME|Grace O'Malley} came along; {NAME|LEWIS HART} drove. Ask for {NAME|Hart-Benning}.
+Herr {NAME|Thomas Krüger} kam mit seiner Frau {NAME|Inge Krüger}. Rückfragen an Dr. {NAME|Vogt}. Der Sohn {NAME|Jonas} holt ab.
+Monsieur {NAME|Paul Girard} et sa fille {NAME|Lucie} sont venus. Docteur {NAME|Lambert} absent. Avec {NAME|Anne de Brisson}, sa voisine.
+La señora {NAME|Carmen Ruiz Vidal} vino con su hijo {NAME|Andrés}. Atendida por la Dra. {NAME|Molina}. Habló {NAME|RUIZ, CARMEN}.
+{NAME|Tom Benning}: "Thank you." Then {NAME|Clara} left. Is {NAME|Marlow} on call? Dear {NAME|Adaeze}, see you soon.
+You can write me at {EMAIL|clara.benning@inbox.example} or {EMAIL|tom_b+news@web.example.net}. Mail: {EMAIL|INFO@FENN.TEST}
+Mein Postfach ist {EMAIL|t.krueger@brief.example}. Mon adresse est {EMAIL|paul.girard@lettre.example}; escribe a {EMAIL|cruiz7@buzon.test}
+My address is {EMAIL|clara AT inbox DOT example} or {EMAIL|tom (at) web (dot) example}, also {EMAIL|hart @ box.example}.
+Phone {PHONE|(555) 555-0123} or {PHONE|+1 555 555 0188 ext 4}. Office: {PHONE|020 7946 0321}, cell {PHONE|07700 900321}.
+Ruf mich an: {PHONE|030 2312 5678}. Mon numéro est le {PHONE|+33 1 99 00 45 67}. Mi número es {PHONE|+34 100 45 67 89}. Fax {PHONE|555-555-0177}
+He answers on {PHONE|5555550111} in the evening; tel: {PHONE|555.555.0133}; Mobil {PHONE|0151 23125000}; {PHONE|(555)5550166} works too.
+MRN: {ID_NUMBER|7788123}, NHS {ID_NUMBER|943 476 5919}, SSN {ID_NUMBER|900-55-4321}. Her medical record number is {ID_NUMBER|H778812}.
+Passport no. {ID_NUMBER|P44556677}, licence {ID_NUMBER|BENNI901015CB9}, insurance ID {ID_NUMBER|XW-556677-01}, national insurance {ID_NUMBER|QQ 55 66 77 A}.
+Versichertennummer {ID_NUMBER|B556677889}, Ausweis {ID_NUMBER|L01X00T47}. DNI {ID_NUMBER|55667788-K}. Sécurité sociale {ID_NUMBER|2 85 05 99 123 456 78}.
+His social security number, {ID_NUMBER|900554321}, and hospital ID {ID_NUMBER|00778812} were checked. MRN#{ID_NUMBER|8812776}
+We live at {ADDRESS|14 Juniper Street} in the old town. New flat: {ADDRESS|Apt 9, 220 Orchard Avenue, Brookfield, NY 00456}
+My parents' house is {ADDRESS|7 Lime Close, Brookfield}. Send it to {ADDRESS|88B Ferry Road}, or {ADDRESS|3 north quay lane, brookfield}.
+Ich wohne {ADDRESS|Lindenstraße 21, 00456 Neuburg}. Anschrift {ADDRESS|Kirchweg 4a}. Früher {ADDRESS|Am Anger 6, 00456 Neuburg}.
+J'habite {ADDRESS|8 rue des Lilas, 00456 Montclair}. Adresse: {ADDRESS|25 bis avenue du Port}. Vivo en {ADDRESS|Calle Sol 9, 4.º A, 00456 Río Alto} y antes en {ADDRESS|Avda. del Mar 31}.
+Their shop stands at {ADDRESS|500 Mason Blvd, Suite 3, Brookfield NY}; the office at {ADDRESS|19 Abbey Court}; the flat at {ADDRESS|Unit 5, 61 Dale Crescent, Brookfield}.
+Born {DATE|04/05/1961}. Admitted {DATE|12/11/2021}, discharged {DATE|15-11-2021}. Next visit {DATE|1/3/24}: weight 71, height 170.
+Invoice 55667788 paid, order 4455-66, model X900, serial 9988776655, version 3.1, room 12, bus line 40, bed 7.
+The batch B556677 and lot 22-0987 were returned; specimen 4455667788; ticket 90055; form F-22; page 3 of 14; sheet 12; tube 8.
+Parkinson disease, Crohn disease and Down syndrome were ruled out. Babinski reflex normal. Foley catheter, Bence Jones protein, Barthel index 80.
+Transferred from Saint Luke Hospital to Riverside Clinic, North Wing. The Harbour Centre, Oak House and Queen Square ward were full.
+Will you go in May? Mark your form. Grace before meals. The rose fades, joy returns, a frank talk, an art class, the dawn.
+Blood pressure 135/85. BP 118/76, pulse 64, oxygen 97 %, 37.2 degrees. Give 250 mg at 08:00 and 20:00, 2 tablets, 10 ml, 1.5 mg per kg.
+Text with [REDACTED] and [REDACTED] in it. Monday morning the doctor and the nurse spoke to the patient and the family.
 """
 
+_POSSESSIVE = ("'s", "’s")
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+|[^\w\s]|_")
 _AT = r"(?:@|[(\[]\s?at\s?[)\]]|\bAT\b|\bat\b)"
 _DOT = r"(?:\.|[(\[]\s?dot\s?[)\]]|\s(?:DOT|dot)\s)"
-#: Spelled so that nothing but a mail address fits.
-_MAIL = re.compile(rf"[\w.+%-]+(?:\s?@\s?[\w-]+(?:\.[\w-]+)+|\s?[(\[]\s?at\s?[)\]]\s?[\w-]+(?:{_DOT}[\w-]+)+|\s(?:AT|at)\s[\w-]+(?:\s(?:DOT|dot)\s[\w-]+)+)")
+#: Spelled so that nothing but a mail address fits.  The look-behind only spares starts inside a run that has failed.
+_MAIL = re.compile(rf"(?<![\w.+%-])[\w.+%-]+(?:\s?@\s?[\w-]+(?:\.[\w-]+)+|\s?[(\[]\s?at\s?[)\]]\s?[\w-]+(?:{_DOT}[\w-]+)+|\s(?:AT|at)\s[\w-]+(?:\s(?:DOT|dot)\s[\w-]+)+)")
 # Street and house number by language, each behind stretches of which one must occur in the lower-case text.
 _HOUSES = {
     " st;road; rd; ave; lane; ln; dr; cl; c;place; pl; way;boulevard;blvd; ter; hill; sq":
         r"\b\d{1,4}[A-Za-z]? (?:[^\W\d_][\w'’.]*\s){1,4}?(?i:street|st|road|rd|avenue|ave|lane|ln|drive|dr|close|court|ct|place|pl|way|blvd|boulevard|terrace|ter|hill|square|crescent)\b",
     " rue ; avenue ; allée ; chemin ; boulevard ; place ; impasse ; quai ": r"\b\d{1,4}(?: bis)?,? (?i:rue|avenue|allée|chemin|boulevard|place|impasse|quai) [^\W\d_][\w'’ -]{2,30}",
     "calle;c/;avenida;avda;plaza;paseo;camino": r"(?i:calle|c/|avenida|avda\.?|plaza|paseo|camino) ?[^\n,\d]{2,30} \d{1,4}",
-    "straße ;strasse ;str. ;gasse ;weg ;platz ;allee ;damm ;ring ;ufer ;am ;an der ;im ;auf dem ": r"[^\W\d_]+(?i:straße|strasse|str\.|gasse|weg|platz|allee|damm|ring|ufer) \d{1,4}[a-z]?\b|\b(?:Am|An der|Im|Auf dem) [^\W\d_]+ \d{1,4}[a-z]?\b",
+    "straße ;strasse ;str. ;gasse ;weg ;platz ;allee ;damm ;ring ;ufer ;am ;an der ;im ;auf dem ": r"(?<![^\W\d_])[^\W\d_]+(?i:straße|strasse|str\.|gasse|weg|platz|allee|damm|ring|ufer) \d{1,4}[a-z]?\b|\b(?:Am|An der|Im|Auf dem) [^\W\d_]+ \d{1,4}[a-z]?\b",
 }
+_ID_TAIL = r"[.:#\s]{0,3}[A-Za-z]{0,2}[ -]?\d[\dA-Za-z]*(?:[ -]\d[\dA-Za-z]*)*(?:-[A-Za-z])?\b"
+_ID_WORDS = ("mrn", "ssn", "nhs", "number", "n.º", "nº", "n°", "passport", "licen", "dni", "versichertennummer", "sociale")
 PATTERNS = {
     "rx:email": _MAIL,
     "rx:date": re.compile(r"(?<![\d/-])\d{1,2}[-/.]\d{1,2}[-/.](?:\d{4}|\d{2})(?![\d/-])|(?<!\d)\d{4}-\d{2}-\d{2}(?!\d)"),
@@ -121,9 +130,11 @@ PATTERNS = {
     ),
     "rx:nanp": re.compile(r"(?<![\w.-])(?:\+?1[ .-]?)?\(?\d{3}\)?[ .-]?555[ .-]?\d{4}(?:\s?ext\.?\s?\d+)?(?!\d)"),
     "rx:ssn": re.compile(r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])"),
+    # In two parts, as the short words begin everywhere and are looked for by their first letter.
     "rx:idword": re.compile(
-        r"(?i)(?:\bMRN|\bSSN|\bNHS|number|n\.º|nº|n°|\bNr|\bno|passport|licen[cs]e|\bDNI|\bID|Versichertennummer|sociale)[.:#\s]{0,3}[A-Z]{0,2}[ -]?\d[\dA-Z]*(?:[ -]\d[\dA-Z]*)*(?:-[A-Z])?\b"
+        rf"(?i)(?:\bMRN|\bSSN|\bNHS|number|n\.º|nº|n°|passport|licen[cs]e|\bDNI|Versichertennummer|sociale){_ID_TAIL}"
     ),
+    "rx:idno": re.compile(rf"[IiNn](?<!\w.)(?:(?<=[Ii])[Dd]|(?<=[Nn])[RrOo]){_ID_TAIL}"),
     "rx:thing": re.compile(
         r"(?i)\b(?:order|lot|batch|serial|specimen|form|sheet|printout|ticket|accession|tube|model|room|range|page|formular|ausdruck)\b[\s:#]{0,2}[A-Z]{0,3}-?\d[\d-]*"
     ),
@@ -145,21 +156,34 @@ def fold_map(text: str) -> tuple[str, list[int]]:
     """The folded text and, for each of its positions, the position in ``text``."""
     if text.isascii():
         return text, list(range(len(text) + 1))
-    out, back = [], []
+    out: list[str] = []
+    back: list[int] = []
     for m in re.finditer(r"\s+|\S+", text):
-        chunk, at = m.group(), m.start()
-        new = canonical(chunk)
-        out.append(new)
-        if len(new) == len(chunk):
-            back.extend(range(at, m.end()))
-        elif len(chunk) <= 64:
-            ends = [len(canonical(chunk[: k + 1])) for k in range(len(chunk))]
-            back.extend(at + bisect_right(ends, p) for p in range(len(new)))
-        else:
-            back.extend(at + p * len(chunk) // max(1, len(new)) for p in range(len(new)))
+        _place(m.group(), m.start(), out, back)
     return "".join(out), [*back, len(text)]
 
 
+def _place(chunk: str, at: int, out: list[str], back: list[int]) -> None:
+    """Fold one chunk and place its characters: halved where the halves fold on their own, else by its prefixes."""
+    new = canonical(chunk)
+    if new == chunk:
+        out.append(new)
+        back.extend(range(at, at + len(chunk)))
+        return
+    if len(chunk) > 8:
+        middle = len(chunk) // 2
+        for cut in (c for d in range(min(24, middle)) for c in (middle - d, middle + d)):
+            if _WIDTHLESS.match(chunk, cut):
+                continue  # a mark or a character without width stays with what it follows
+            if canonical(chunk[:cut]) + canonical(chunk[cut:]) == new:
+                _place(chunk[:cut], at, out, back)
+                _place(chunk[cut:], at + cut, out, back)
+                return
+    out.append(new)
+    ends = [len(canonical(chunk[: k + 1])) for k in range(len(chunk))]
+    back.extend(at + min(bisect_right(ends, p), len(chunk) - 1) for p in range(len(new)))
+
+
 def _shape(token: str) -> str:
     if token.isdigit():
         return f"9x{min(len(token), 13)}"
@@ -199,12 +223,21 @@ def tokenize(text: str) -> tuple[list[str], list[int], list[int]]:
     return toks, starts, ends
 
 
+@lru_cache(8192)
+def _found(name: str, text: str) -> tuple[tuple[int, int], ...]:
+    """Bounds of what one pattern matches; a phone number has nine to sixteen digits and is no date."""
+    spans = [m.span() for m in PATTERNS[name].finditer(text)]
+    if name == "rx:phone":
+        spans = [(a, b) for a, b in spans if 9 <= sum(c.isdigit() for c in text[a:b]) <= 16]
+    return tuple(spans)
+
+
 def positional(text: str, toks: list[str], starts: list[int], ends: list[int]) -> list[tuple[int, str]]:
     """(token position, feature): patterns, line starts, sentence starts, glued neighbours."""
     out: list[tuple[int, str]] = []
     digits = _DIGITS.search(text) is not None
     low = text.lower() if digits else ""
-    searches = [x for x in PATTERNS.items() if x[0] != "rx:house"]
+    searches: list[tuple[str, object]] = [(name, None) for name in PATTERNS if name != "rx:house"]
     searches += [("rx:house", p) for gate, p in _HOUSE_GATED if digits and any(map(low.__contains__, gate))]
     for name, pattern in searches:
         if name == "rx:email":
@@ -213,18 +246,17 @@ def positional(text: str, toks: list[str], starts: list[int], ends: list[int]) -
         elif name == "rx:tag":
             if "[REDACTED]" not in text:
                 continue
-        elif not digits:
+        elif not digits or name == "rx:idword" and not any(map(low.__contains__, _ID_WORDS)):
             continue
-        for m in pattern.finditer(text):
-            if name == "rx:phone":
-                n = sum(c.isdigit() for c in m.group())
-                if not 9 <= n <= 16 or PATTERNS["rx:date"].fullmatch(m.group()):
-                    continue
-            a, b = bisect_left(starts, m.start()), bisect_left(starts, m.end())
+        for start, end in _found(name, text) if pattern is None else [m.span() for m in pattern.finditer(text)]:
+            if name == "rx:phone" and PATTERNS["rx:date"].fullmatch(text, start, end):
+                continue
+            a, b = bisect_left(starts, start), bisect_left(starts, end)
+            feature = "rx:idword" if name == "rx:idno" else name
             for k in range(a, b):
-                out.append((k, f"{name}:{'B' if k == a else 'I'}"))
+                out.append((k, f"{feature}:{'B' if k == a else 'I'}"))
             if a:
-                out.append((a - 1, f"{name}:before"))
+                out.append((a - 1, f"{feature}:before"))
     for k in range(len(toks)):
         if k == 0 or "\n" in text[ends[k - 1] : starts[k]]:
             out.append((k, "line"))
@@ -236,15 +268,19 @@ def positional(text: str, toks: list[str], starts: list[int], ends: list[int]) -
 
 
 def skip_links(toks: list[str]) -> list[tuple[int, int]]:
-    """Links between consecutive occurrences of repeated or similar (case, possessive) tokens."""
+    """Links from each repeated or similar (case, possessive) token to the occurrence before and to the first one."""
     last: dict[str, int] = {}
+    first: dict[str, int] = {}
     out = []
     for k, t in enumerate(toks):
         if (len(t) < 3 if t[0].isalpha() else not (t.isdigit() and len(t) >= 4)) :
             continue
-        key = re.sub(r"['’]s$", "", t.casefold())
-        if (j := last.get(key)) is not None and (t[0].isdigit() or t[0].isupper() or toks[j][0].isupper()):
-            out.append((j, k))
+        key = t.casefold()
+        key = key[:-2] if key.endswith(_POSSESSIVE) else key
+        f = first.setdefault(key, k)
+        for j in {last.get(key, k), f}:
+            if j != k and (t[0].isdigit() or t[0].isupper() or toks[j][0].isupper()):
+                out.append((j, k))
         last[key] = k
     return out
 
@@ -292,7 +328,7 @@ def align(expected: str, text: str) -> list[tuple[int, int, str]] | None:
     out = []
     for a, b in spans:
         stretch = text[a:b]
-        if "[REDACTED]" in stretch or len(stretch) > 160:
+        if "[REDACTED]" in stretch or len(stretch) > LONGEST:
             continue
         if kind := _gold_kind(stretch, text[:a]):
             out.append((a, b, kind))
@@ -339,8 +375,6 @@ def train(pairs: list[tuple[str, str]], first: set[str], last: set[str], rounds:
     """Fit the model on (expected, text) pairs and the annotated sentences."""
     examples, held = _seed_examples(), []
     for n, (expected, text) in enumerate(pairs):
-        if len(text) > 6000:
-            continue
         a, b = fold(expected), fold(text)
         if (spans := align(a, b)) is None:
             continue
@@ -348,35 +382,40 @@ def train(pairs: list[tuple[str, str]], first: set[str], last: set[str], rounds:
     model = SkipChainCRF(LABELS, TypeFeatures(frozenset(first), frozenset(last)))
     model.fit(examples, rounds, l2)
     model.compact()
+    model.pair = link_potential(examples)
     if len(held) >= 8:
-        best = max((_agreement(model, held, w), -w, w) for w in (0.5, 1.0, 2.0))
-        model.skip = best[2]
+        model.skip = max(STRENGTHS, key=lambda w: (_likelihood(model, held, w), -w))
     return model
 
 
-def _agreement(model: SkipChainCRF, held, weight: float) -> float:
-    """Micro F1 of token kinds on held-out notes under one strength of the skip potential."""
+def link_potential(examples) -> np.ndarray:
+    """Log of how much more often linked tokens of the examples bear two labels than unlinked ones would, smoothed and centred."""
+    n = np.full((len(LABELS), len(LABELS)), 0.0)
+    for toks, _, y in examples:
+        for a, b in skip_links(toks):
+            n[y[a], y[b]] += 0.5
+            n[y[b], y[a]] += 0.5
+    share = n.sum(1) + 1
+    expected = np.outer(share, share) / share.sum()
+    return np.clip(np.log((n + expected) / (2 * expected)), -2, 2)
+
+
+def _likelihood(model: SkipChainCRF, held, weight: float) -> float:
+    """Mean log marginal of the true labels on held-out notes under one strength of the skip potential."""
     model.skip = weight
-    tp = fp = fn = 0
-    for (text, spans), (toks, starts, ends, p) in zip(held, label_texts(model, [t for t, _ in held])):
-        if not toks:
-            continue
-        gold = _KIND_OF[np.array(_labels(toks, starts, ends, spans))]
-        got = _KIND_OF[decide(p)]
-        tp += int(((gold == got) & (gold > 0)).sum())
-        fp += int(((gold != got) & (got > 0)).sum())
-        fn += int(((gold != got) & (gold > 0)).sum())
-    return round(2 * tp / max(1, 2 * tp + fp + fn), 3)
+    total = tokens = 0.0
+    for (_, spans), (toks, starts, ends, p) in zip(held, label_texts(model, [t for t, _ in held])):
+        if toks:
+            total += float(np.log(np.maximum(p[np.arange(len(toks)), _labels(toks, starts, ends, spans)], 1e-9)).sum())
+            tokens += len(toks)
+    return total / max(1.0, tokens)
 
 
 def label_texts(model: SkipChainCRF, folded: list[str]):
     """Per text: tokens, starts, ends and label marginals."""
-    parts, docs = [], []
-    for text in folded:
-        toks, starts, ends = tokenize(text)
-        extra = positional(text, toks, starts, ends)
-        docs.append((model.emissions(toks, extra) if toks else np.zeros((0, len(LABELS))), skip_links(toks)))
-        parts.append((toks, starts, ends))
+    parts = [tokenize(text) for text in folded]
+    fields = model.emissions([(part[0], positional(text, *part)) for text, part in zip(folded, parts)])
+    docs = [(field, skip_links(part[0])) for field, part in zip(fields, parts)]
     return [(*part, p) for part, p in zip(parts, model.marginals(docs, _KIND_OF))]
 
 
@@ -392,7 +431,6 @@ def entities(text: str, toks, starts, ends, p: np.ndarray) -> list[tuple[int, in
         return []
     best = decide(p)
     mails = None
-    whole: dict[str, list[tuple[int, int]]] = {}
     out, k = [], 0
     while k < len(best):
         kind = _KIND_OF[best[k]]
@@ -404,14 +442,14 @@ def entities(text: str, toks, starts, ends, p: np.ndarray) -> list[tuple[int, in
             j += 1
         name, a, b = _CLASSES[kind - 1], starts[k], ends[j - 1]
         if name in ("NAME", "EMAIL") and mails is None:
-            mails = [(m.start(), m.end()) for m in _MAIL.finditer(text)]
+            mails = _found("rx:email", text)
         for x, y in mails or ():
             if name in ("NAME", "EMAIL") and a < y and x < b:  # a name inside a mail address is none
                 name, a, b = "EMAIL", min(a, x) if name == "EMAIL" else x, max(b, y) if name == "EMAIL" else y
                 while j < len(best) and starts[j] < b:
                     j += 1
                 break
-        for x, y in _grown(text, name, whole):
+        for x, y in _grown(text, name):
             if a < y and x < b:  # a number is masked as a whole
                 a, b = min(a, x), max(b, y)
                 while j < len(best) and starts[j] < b:
@@ -428,12 +466,10 @@ def entities(text: str, toks, starts, ends, p: np.ndarray) -> list[tuple[int, in
 _WHOLE = {"PHONE": ("rx:nanp", "rx:phone"), "ID_NUMBER": ("rx:ssn",)}
 
 
-def _grown(text: str, kind: str, kept: dict[str, list[tuple[int, int]]]) -> list[tuple[int, int]]:
-    """Stretches that stand or fall as one number, looked up once a text."""
-    if kind not in kept:
-        found = [m for p in _WHOLE.get(kind, ()) for m in PATTERNS[p].finditer(text)]
-        kept[kind] = [m.span() for m in found if kind != "PHONE" or 9 <= sum(c.isdigit() for c in m.group()) <= 16]
-    return kept[kind]
+def _grown(text: str, kind: str) -> list[tuple[int, int]]:
+    """Stretches that stand or fall as one number."""
+    spans = [x for name in _WHOLE.get(kind, ()) for x in _found(name, text)]
+    return [(a, b) for a, b in spans if kind != "PHONE" or 9 <= sum(c.isdigit() for c in text[a:b]) <= 16]
 
 
 _ENCODED_LEFT = re.compile(r"[A-Za-z0-9+/_-]*\Z")
@@ -474,10 +510,10 @@ def fit_from_tables(expected: DataFrame, notes: DataFrame, names: DataFrame, sam
     )
     first: set[str] = set()
     last: set[str] = set()
-    listed = names.where("names IS NOT NULL").select("names.men", "names.women", "names.last").limit(100).collect()
-    for r in listed:
-        first.update(n.strip().casefold() for n in [*(r.men or ()), *(r.women or ())] if n and n.strip())
-        last.update(n.strip().casefold() for n in (r.last or ()) if n and n.strip())
+    for lists, into in ((("men", "women"), first), (("last",), last)):
+        each = F.concat(*[F.coalesce(F.col(f"names.{x}"), F.expr("CAST(array() AS array<string>)")) for x in lists])
+        known = names.where("names IS NOT NULL").select(F.explode(each).alias("n")).where("n IS NOT NULL").distinct()
+        into.update(r.n.strip().casefold() for r in known.orderBy(F.xxhash64("n"), "n").limit(NAMES).collect() if r.n.strip())
     return train([(r.expected, r.text) for r in rows], first, last)
 
 
