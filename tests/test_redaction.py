@@ -225,9 +225,19 @@ def test_command_line(spark, tmp_path, capsys):
     from veilwork.cli import main
 
     out = tmp_path / "o.txt"
-    assert main(["--text", "Call 555-123-4567", "--output_text_file", str(out), "--show_stats", "-v"], spark) == 0
+    rules = ["--maskers", "regex"]
+    assert main(["--text", "Call 555-123-4567", "--output_text_file", str(out), "--show_stats", "-v", "--regex_debug", *rules], spark) == 0
     said = capsys.readouterr().out
     assert 'Masked: "Call [REDACTED]"' in said and "PHONE: 1" in said and out.read_text() == "Call [REDACTED]"
+    assert "PHONE: '555-123-4567' at 5-17" in said and "1. PHONE at 5-17: ...Call [555-123-4567]..." in said
+    rows = tmp_path / "in.csv"
+    rows.write_text("id,note\n" + "".join(f'{n},"Call 555-123-4567 and John Doe {n}"\n' for n in range(150)))
+    assert main(["--input_csv", str(rows), "--column_name", "note", "--output_csv", str(tmp_path / "csv"), "--n_jobs", "2", "--chunk_size", "1", "-v", "--entity_types", "PHONE", *rules], spark) == 0
+    assert capsys.readouterr().out.count("PHONE at") == 150
+    assert {r.note for r in read_csv(spark, str(tmp_path / "csv")).collect()} == {f"Call [REDACTED] and John Doe {n}" for n in range(150)}
+    assert main(["--test_device"], spark) == 0 and "device: cpu" in capsys.readouterr().out
+    with pytest.raises(SystemExit, match="--maskers regex"):
+        main(["--text", "x"], spark)
     with pytest.raises(SystemExit):
         main(["--input_csv", "x.csv"], spark)
 
@@ -379,3 +389,73 @@ def test_model_masker_sees_whole_texts(monkeypatch):
     assert masker.detect([long, "", "Smith Doe"]) == [whole(long), [], whole("Smith Doe")]
     assert maskers.ModelMasker("m", backend="transformers", max_chars=10_000).detect([long]) == [whole(long[:10_000])]
     assert masker.detect(["Smith Doe José"], ("per",))[0] and masker.detect(["Smith Doe José"], ("loc",)) == [[]]
+
+
+def test_devices(monkeypatch):
+    from veilwork.operators import maskers
+
+    assert [maskers.pipeline_device(d) for d in ("cpu", "mps", "cuda", "cuda:2", "gpu", "1", 3, -1, "odd")] == [-1, "mps", 0, 2, 0, 1, 3, -1, -1]
+    monkeypatch.setattr(maskers, "best_device", lambda: "cuda:1")
+    assert maskers.pipeline_device(None) == maskers.pipeline_device("auto") == 1
+
+
+def test_models_through_stub_packages(spark, monkeypatch):
+    """The two call shapes of the model packages, with device fallback and part fallback."""
+    import re
+    import sys
+    import types
+
+    from veilwork.operators import maskers
+
+    calls = []
+
+    def pipeline(task, model, tokenizer, aggregation_strategy, stride, batch_size, device):
+        calls.append(("pipeline", task, device, aggregation_strategy, stride))
+        if device != -1:
+            raise RuntimeError("no such device")
+        return lambda texts, batch_size: [[{"start": m.start(), "end": m.end(), "entity_group": "PER"} for m in re.finditer("Zoë", t)] for t in texts]
+
+    loader = types.SimpleNamespace(from_pretrained=lambda name, **o: calls.append((name, o)) or name)
+    monkeypatch.setitem(sys.modules, "transformers", types.SimpleNamespace(pipeline=pipeline, AutoTokenizer=loader, AutoModelForTokenClassification=loader))
+    masker = maskers.ModelMasker("m1", "transformers", device="cuda:3", cache_dir="/c")
+    assert masker.detect(["Zoë x", "y Zoë"]) == [[(0, 3, "PER")], [(2, 5, "PER")]]
+    assert ("m1", {"cache_dir": "/c", "use_fast": True, "model_max_length": 512}) in calls
+    assert [c[2] for c in calls if c[0] == "pipeline"] == [3, -1]
+
+    class Doc:
+        ents = [types.SimpleNamespace(start_char=0, end_char=3, label_="PERSON")]
+
+    def load(name, disable):
+        calls.append((name, tuple(disable)))
+        if "attribute_ruler" in disable:
+            raise ValueError("no such part")
+        return types.SimpleNamespace(pipe=lambda texts, batch_size: [Doc() for _ in texts])
+
+    monkeypatch.setitem(sys.modules, "spacy", types.SimpleNamespace(load=load, require_cpu=lambda: calls.append("cpu"), prefer_gpu=lambda: calls.append("gpu")))
+    assert maskers.ModelMasker("m2", device="cpu").detect(["Zoë", "b"], ("pers",)) == [[(0, 3, "PERSON")]] * 2
+    assert maskers.ModelMasker("m2", device="gpu").detect(["Zoë"], ("org",)) == [[]]
+    assert calls[-6:] == ["cpu", ("m2", maskers.DISABLED[0]), ("m2", maskers.DISABLED[1]), "gpu", ("m2", maskers.DISABLED[0]), ("m2", maskers.DISABLED[1])]
+
+
+def test_entry_without_a_package_of_the_training_queries(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    monkeypatch.setitem(sys.modules, "zstandard", None)
+    for name in [m for m in sys.modules if m.startswith("veilwork.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    with pytest.warns(UserWarning) if __import__("importlib").util.find_spec("veilwork.llm") else __import__("contextlib").nullcontext():
+        names = set(entry.queries())
+    assert "redact_two_pass" in names and not any(n.startswith("p8") for n in names)
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from veilwork.functions.durable import durable
+
+    context = SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isEmpty=lambda: True))))
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        durable(SimpleNamespace(sparkSession=session))

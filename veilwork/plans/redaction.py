@@ -204,6 +204,21 @@ def score_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(scoring.paired(actual, expected, "id"))
 
 
+def score_configurations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of two configurations: all rules, and phone numbers only."""
+    expected = _expected(spark, sf_dir)
+    sample = table(spark, sf_dir, "test").select("id", "text").join(expected.select("id"), "id", "left_semi")
+    runs = {"all": RedactConfig(), "phones": RedactConfig(types=("PHONE",))}
+    rows = [scoring.score(scoring.paired(redact(sample, "text", cfg), expected, "id")).select(F.lit(name).alias("name"), "*") for name, cfg in runs.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def score_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No expected text at all: every metric is 0."""
+    notes = table(spark, sf_dir, "test").select("id", "text")
+    return scoring.score(scoring.paired(notes, _expected(spark, sf_dir).limit(0), "id"))
+
+
 def score_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.rankings(table(spark, sf_dir, "benchmark_result")).select("metric", "rank", "run_id", "name", "value")
 
@@ -228,7 +243,7 @@ QUERIES = {name: partial(rule_query, rule) for name, rule in _BY_RULE.items()} |
     for f in (
         spans_person_known, overlap_exclusion, tag_ranges, type_filter_exact, type_filter_substring, span_union, merge_spans, upper_filter,
         mask_listed, mask_custom, collapse_tags, redact_two_pass, redact_stored, redact_known, redact_documents, label_stats, total_stats,
-        context_excerpt, preview, names_set, ner_dictionary, tag_counts, blank_guard, exact_match, score_metrics, score_ranking, score_argmax,
+        context_excerpt, preview, names_set, ner_dictionary, tag_counts, blank_guard, exact_match, score_metrics, score_configurations, score_nothing, score_ranking, score_argmax,
         successful_runs,
     )
 }
@@ -261,6 +276,9 @@ _PAIRS = f"""e AS (SELECT id, min(text) AS text FROM expected_notes WHERE id IS
   s AS (SELECT count(*) AS n, coalesce(sum(e), 0) AS e, coalesce(sum(a), 0) AS a, coalesce(sum(least(a, e)), 0) AS c, count(*) FILTER ({_STRIP('actual')} = {_STRIP('expected')}) AS exact_matches FROM c),
   r AS (SELECT exact_matches, CASE WHEN n = 0 THEN 0 WHEN e > 0 THEN c / e * 100 ELSE 100 END AS accuracy, CASE WHEN a > 0 THEN c / a * 100 ELSE 0 END AS precision, CASE WHEN e > 0 THEN a / e ELSE 0 END AS ratio FROM s)"""
 
+_SCORES = """SELECT accuracy, precision, exact_matches, CASE WHEN accuracy + precision > 0 THEN 2 * accuracy * precision / (accuracy + precision) ELSE 0 END AS f1,
+  ratio AS over_redaction_ratio, greatest(ratio - 1, 0) * 100 AS over_redaction_pct FROM r"""
+
 ORACLE = {name: f'SELECT id, start, "end", label FROM ({Q.spans(_NOTES, rule.id)})' for name, rule in _BY_RULE.items()} | {
     "spans_person_known": f'SELECT id, start, "end", label FROM ({Q.spans(_NOTES, "R1", _NAMES)})',
     "overlap_exclusion": f"""WITH t0 AS (SELECT id, text FROM test WHERE text IS NOT NULL), s AS ({" UNION ALL ".join(Q.spans("t0", r) for r in Q.RULES)}), k AS ({Q.tag_ranges("t0")})
@@ -294,8 +312,9 @@ ORACLE = {name: f'SELECT id, start, "end", label FROM ({Q.spans(_NOTES, rule.id)
     "tag_counts": f"SELECT id, (length(text) - length(replace(text, '{Q.TAG}', ''))) // {len(Q.TAG)} AS tags FROM test WHERE text IS NOT NULL",
     "blank_guard": f"SELECT id, text IS NULL OR {_BLANK} AS blank FROM test",
     "exact_match": f"SELECT t.id, e.text AS expected, {_STRIP('t.text')} = {_STRIP('e.text')} AS same FROM test t JOIN expected_notes e ON e.id = t.id WHERE t.text IS NOT NULL AND e.text IS NOT NULL",
-    "score_metrics": f"""{_TWO}, {_PAIRS} SELECT accuracy, precision, exact_matches, CASE WHEN accuracy + precision > 0 THEN 2 * accuracy * precision / (accuracy + precision) ELSE 0 END AS f1,
-      ratio AS over_redaction_ratio, greatest(ratio - 1, 0) * 100 AS over_redaction_pct FROM r""",
+    "score_metrics": f"{_TWO}, {_PAIRS} {_SCORES}",
+    "score_configurations": f"SELECT 'all' AS name, * FROM ({_TWO}, {_PAIRS} {_SCORES}) UNION ALL SELECT 'phones' AS name, * FROM (WITH {Q.redaction(_TEST, rules=('R4',))}, {_PAIRS} {_SCORES})",
+    "score_nothing": "SELECT 0.0 AS accuracy, 0.0 AS precision, 0 AS exact_matches, 0.0 AS f1, 0.0 AS over_redaction_ratio, 0.0 AS over_redaction_pct",
     "score_ranking": f"WITH {_RANKED} SELECT metric, rank, run_id, name, value FROM y",
     "score_argmax": f"WITH {_RANKED} SELECT metric, name, value FROM y WHERE rank = 1",
     "successful_runs": "SELECT run_id, name, CASE WHEN processing_time > 0 THEN total_texts / processing_time ELSE 0 END AS texts_per_second, texts_per_second * correctness_score / 100 AS balanced FROM benchmark_result WHERE success",
