@@ -376,12 +376,16 @@ def test_tags_of_any_case_are_one_word():
     assert leakage.leaked_items(leakage.words(" ".join(item).lower()), index) == [1]
 
 
-def test_item_blocks(spark, monkeypatch):
+def test_items_beyond_the_index_are_joined(spark, monkeypatch):
+    item = [(n, " ".join(_passage(n, 40))) for n in range(5)] + [(2, " ".join(_passage(77, 40))), (None, "x"), (9, None), (8, "")]
+    docs = [(n, t + " end") for n, t in item[:6]] + [(None, item[1][1]), (30, None), (31, ""), (30, item[4][1] + " " + item[0][1])]
+    d = spark.createDataFrame([(*r, 1) for r in docs], "doc_id long, text string, item_id int")
+    i = spark.createDataFrame(item, "item_id long, text string")
+    want = {(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (None, 1), (30, 0), (30, 4)}
+    assert {tuple(r) for r in leakage.leaks(d, i).collect()} == want
     monkeypatch.setattr(leakage, "INDEX_FINGERPRINTS", 50)
-    item = [(n, " ".join(_passage(n, 40))) for n in range(5)]
-    docs = spark.createDataFrame([(n, t + " end") for n, t in item], "doc_id long, text string")
-    items = spark.createDataFrame(item, "item_id long, text string")
-    assert {tuple(r) for r in leakage.leaks(docs, items).collect()} == {(n, n) for n in range(5)}
+    assert {tuple(r) for r in leakage.leaks(d, i).collect()} == want
+    assert leakage.leaks(d.limit(0), i).collect() == []
 
 
 @settings(max_examples=60, deadline=None)

@@ -13,9 +13,9 @@ or more.
 With k = 5 and window = 2 a stretch of 25 words with three changes always holds six
 unchanged words in a row, hence a shared fingerprint.
 
-The item side of the join is an index of sorted hashes that is broadcast.  Its size is
-counted: a held-out set beyond ``INDEX_FINGERPRINTS`` is cut into blocks of items, each
-joined with all documents in turn.  Documents are never shuffled; only found pairs are.
+Items are prepared in the executors and their words counted.  A held-out set of up to
+``INDEX_FINGERPRINTS`` is broadcast as an index of sorted hashes, so documents are never
+shuffled; only found pairs are.  A larger one is joined as a table of fingerprints.
 
 An opening sentence that several items share is not part of them.  Null and empty
 documents or items match nothing.  Repeated ids yield one row a pair.
@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veilwork.functions.durable import durable
+from veilwork.functions.join import SALTS
 from veilwork.sources.tables import spread, table
 
 K = 5
@@ -41,7 +42,7 @@ WINDOW = 2
 MIN_WORDS = 25
 ONE_IN = 8
 BAND = 6
-#: Most fingerprints of one broadcast index (24 bytes each).
+#: Most words of all items for a broadcast index (24 bytes a fingerprint, and the words).
 INDEX_FINGERPRINTS = 1_000_000
 
 # Forms that redaction tags, mark-up and page lines take.
@@ -144,15 +145,6 @@ def opening(text: str) -> str:
     return m.group() if m else ""
 
 
-def item_words(rows: list[tuple[int, str]]) -> list[tuple[int, list[str]]]:
-    """(item, words) without the opening sentences that several items share."""
-    users: dict[str, set[int]] = {}
-    for key, text in rows:
-        users.setdefault(opening(text), set()).add(key)
-    cut = lambda t: t[len(o) :] if (o := opening(t)) and len(users[o]) > 1 else t
-    return [(key, words(cut(text))) for key, text in rows]
-
-
 def _side(doc: list[str], item: list[str], d: int, i: int, step: int) -> list[int]:
     """best[n]: highest balance of aligning the next n item words from (d, i) in direction ``step``.
 
@@ -220,36 +212,86 @@ def leaked_items(doc: list[str], index: ItemIndex, least: int = MIN_WORDS) -> li
     return sorted(out)
 
 
-def _blocks(items: list[tuple[int, list[str]]]) -> list[list[tuple[int, list[str]]]]:
-    out, size = [[]], 0
-    for key, seq in items:
-        if out[-1] and size + len(seq) > INDEX_FINGERPRINTS:
-            out.append([])
-            size = 0
-        out[-1].append((key, seq))
-        size += len(seq)
-    return out
+@F.arrow_udf(T.StringType())
+def _opening(texts: pa.Array) -> pa.Array:
+    return pa.array([opening(t) for t in texts.to_pylist()], pa.string())
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _words(texts: pa.Array) -> pa.Array:
+    return pa.array([words(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _prints(texts: pa.Array) -> pa.Array:
+    """Distinct fingerprints of texts, as signed numbers."""
+    return pa.array([np.unique(fingerprints(words(t))[0]).view(np.int64).tolist() for t in texts.to_pylist()], pa.list_(pa.int64()))
+
+
+def item_table(items: DataFrame) -> DataFrame:
+    """(item_id, text, words, n) without the opening sentences that several items share; nothing reaches the driver."""
+    base = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct()
+    opened = base.withColumn("opening", _opening.asNondeterministic()("text"))
+    users = opened.groupBy("opening").agg(F.countDistinct("item_id").alias("users")).where("users > 1 AND opening <> ''")
+    cut = opened.join(users, "opening", "left")
+    own = F.when(F.col("users").isNotNull(), F.expr("substr(text, char_length(opening) + 1)")).otherwise(F.col("text"))
+    cut = cut.select("item_id", own.alias("text"))
+    out = cut.withColumn("words", _words.asNondeterministic()("text"))
+    return durable(out.withColumn("n", F.size("words")))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """(doc_id, item_id): each document with each item that leaked into it."""
-    rows = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").orderBy("item_id", "text").collect()
+    """(doc_id, item_id): each document with each item that leaked into it.
+
+    The words of all items are counted.  Up to ``INDEX_FINGERPRINTS`` (no item has more
+    fingerprints than words) their index is broadcast.  Beyond that fingerprints are joined
+    as tables, spread by a salt, and texts meet only for the pairs that share one; no item
+    reaches the driver then.
+    """
+    known = item_table(items)
     base = docs.where(F.col(column).isNotNull()).select(F.col(key).alias("doc_id"), F.col(column).alias("text"))
     base = spread(base, "doc_id")
-    sc = docs.sparkSession.sparkContext
+    if (known.agg(F.sum("n")).first()[0] or 0) > INDEX_FINGERPRINTS:
+        return _joined_leaks(base, known).withColumnRenamed("doc_id", key)
+    rows = known.select("item_id", "words").collect()
+    merged: dict[int, list[str]] = {}
+    for n, r in enumerate(sorted(rows, key=lambda r: (r.item_id, r.words))):
+        merged[n] = r.words
+    ids = [r.item_id for r in sorted(rows, key=lambda r: (r.item_id, r.words))]
+    shared = docs.sparkSession.sparkContext.broadcast((ItemIndex(list(merged.items())), ids))
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def check(texts: pa.Array) -> pa.Array:
+        index, names = shared.value
+        return pa.array([sorted({names[n] for n in leaked_items(words(t), index)}) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
-    def against(block: list[tuple[int, list[str]]]) -> DataFrame:
-        shared = sc.broadcast(ItemIndex(block))
+    found = base.select(F.col("doc_id").alias(key), check.asNondeterministic()("text").alias("items"))
+    return found.select(key, F.explode("items").alias("item_id")).distinct()
 
-        @F.arrow_udf(T.ArrayType(T.LongType()))
-        def check(texts: pa.Array) -> pa.Array:
-            index = shared.value
-            return pa.array([leaked_items(words(t), index) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
-        return base.select(F.col("doc_id").alias(key), F.explode(check("text")).alias("item_id"))
+def _joined_leaks(base: DataFrame, known: DataFrame) -> DataFrame:
+    """The same pairs by a join of fingerprint tables.
 
-    blocks = _blocks(item_words([(r.item_id, r.text) for r in rows]))
-    return reduce(DataFrame.unionByName, map(against, blocks)).distinct()
+    A document is told by its key and a digest of its text, so repeated and null keys
+    keep their own texts.
+    """
+    at = ["_null", "_key", "_digest"]
+    base = base.withColumns({"_null": F.col("doc_id").isNull(), "_key": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_digest": F.xxhash64("text")})
+    hashed = base.select(*at, _prints.asNondeterministic()("text").alias("h")).select(*at, F.explode("h").alias("h"))
+    hashed = hashed.withColumn("salt", F.pmod(F.col("_digest"), F.lit(SALTS)))
+    item = known.select("item_id", F.xxhash64("text").alias("item_digest"), _prints.asNondeterministic()("text").alias("h"))
+    item = item.select("item_id", "item_digest", F.explode("h").alias("h"))
+    item = item.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    pairs = hashed.join(item, ["h", "salt"]).select(*at, "item_id", "item_digest").distinct()
+    whole = known.select("item_id", F.xxhash64("text").alias("item_digest"), F.col("words").alias("item_words"))
+    both = pairs.join(whole, ["item_id", "item_digest"]).join(base.select(*at, "doc_id", "text"), at)
+
+    @F.arrow_udf(T.BooleanType())
+    def holds(texts: pa.Array, item_words: pa.Array) -> pa.Array:
+        return pa.array([bool(leaked_items(words(t), ItemIndex([(0, w)]))) for t, w in zip(texts.to_pylist(), item_words.to_pylist())], pa.bool_())
+
+    checked = both.select("doc_id", "item_id", holds.asNondeterministic()("text", "item_words").alias("holds"))
+    return checked.where("holds").select("doc_id", "item_id").distinct()
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
