@@ -314,7 +314,7 @@ ORACLE = {name: f'SELECT id, start, "end", label FROM ({Q.spans(_NOTES, rule.id)
     "exact_match": f"SELECT t.id, e.text AS expected, {_STRIP('t.text')} = {_STRIP('e.text')} AS same FROM test t JOIN expected_notes e ON e.id = t.id WHERE t.text IS NOT NULL AND e.text IS NOT NULL",
     "score_metrics": f"{_TWO}, {_PAIRS} {_SCORES}",
     "score_configurations": f"SELECT 'all' AS name, * FROM ({_TWO}, {_PAIRS} {_SCORES}) UNION ALL SELECT 'phones' AS name, * FROM (WITH {Q.redaction(_TEST, rules=('R4',))}, {_PAIRS} {_SCORES})",
-    "score_nothing": "SELECT 0.0 AS accuracy, 0.0 AS precision, 0 AS exact_matches, 0.0 AS f1, 0.0 AS over_redaction_ratio, 0.0 AS over_redaction_pct",
+    "score_nothing": "SELECT CAST(0 AS DOUBLE) AS accuracy, CAST(0 AS DOUBLE) AS precision, CAST(0 AS BIGINT) AS exact_matches, CAST(0 AS DOUBLE) AS f1, CAST(0 AS DOUBLE) AS over_redaction_ratio, CAST(0 AS DOUBLE) AS over_redaction_pct",
     "score_ranking": f"WITH {_RANKED} SELECT metric, rank, run_id, name, value FROM y",
     "score_argmax": f"WITH {_RANKED} SELECT metric, name, value FROM y WHERE rank = 1",
     "successful_runs": "SELECT run_id, name, CASE WHEN processing_time > 0 THEN total_texts / processing_time ELSE 0 END AS texts_per_second, texts_per_second * correctness_score / 100 AS balanced FROM benchmark_result WHERE success",
