@@ -469,6 +469,23 @@ def test_abuse_is_learnt_from_labels(spark):
     assert empty.threshold == abuse.DEFAULT_THRESHOLD and empty.score("you idiot") >= empty.threshold
 
 
+def test_abuse_learns_from_all_labels(spark):
+    """Wording of labelled documents beyond any number of them counts, and the tables give what the fit in memory gives."""
+    from pyspark.sql import functions as F
+
+    ids = [r.id for r in spark.range(1300).orderBy(F.xxhash64("id"), "id").collect()]
+    bad = {n: "may the moths of the cellar gnaw your rotten bones, idiot" if k >= 1100 else "you are an idiot" for k, n in enumerate(ids)}
+    docs = [(n, f"The patient in bay {'abcdefghij'[n % 10]} slept. {bad[n]}.", 1) for n in ids]
+    docs += [(n, f"The patient in bay {'abcdefghij'[n % 10]} slept and ate {'bread' if n % 3 else 'rice'}. The moths were gone.", 0) for n in range(2000, 2400)]
+    d = spark.createDataFrame([r[:2] for r in docs], "doc_id long, text string")
+    model = abuse.fit_from_tables(d, spark.createDataFrame([(n, 1, y) for n, _, y in docs], "doc_id long, quality int, toxic int"))
+    assert "moths of the cellar" in model.toxic.decode()
+    in_memory = abuse.train([(t, y) for _, t, y in docs])
+    assert (model.toxic, model.ordinary) == (in_memory.toxic, in_memory.ordinary)
+    scored = [(0.5, 3, 0), (0.1, 1, 0), (0.0, 1, 9), (-0.1, 0, 5)]
+    assert abuse.calibrated(scored) == 0.05 and abuse.calibrated([]) == abuse.DEFAULT_THRESHOLD
+
+
 def test_abuse_inside_long_sentences():
     model = abuse.train([("The patient walked twenty metres and was well. Bloods were taken in the morning.", 0)] * 5)
     around = "the patient walked twenty metres and was well and then "
