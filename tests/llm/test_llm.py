@@ -486,6 +486,24 @@ def test_abuse_learns_from_all_labels(spark):
     assert abuse.calibrated(scored) == 0.05 and abuse.calibrated([]) == abuse.DEFAULT_THRESHOLD
 
 
+@given(st.text(alphabet="ab c.!?:;\"')]\n\t\x1c 03@$-…“é\u2028Ω。", max_size=14), st.sampled_from(("", ". ", "! ", '." ', ".\n", ".")))
+def test_abuse_breaks_need_no_pattern_in_lone_sentences(text, end):
+    """A text whose only break is its end is not split by the general pattern, and comes out the same."""
+    normal = abuse.normal_text(text + end)
+    general = abuse._BREAK.split(normal) if abuse._BREAKS_HINT.search(normal) else [normal.rstrip(".!?…")]
+    assert abuse.sentences(text + end) == [s for part in general for s in abuse._cleaned(part)]
+
+
+def test_abuse_scores_each_wording_once(monkeypatch):
+    model = abuse.train([])
+    monkeypatch.setattr(abuse, "_BREAK", None)
+    count, score = [], model.window_score
+    model.window_score = lambda window: count.append(window) or score(window)
+    for name in ("Ward: the patient slept well. ", "the patient  slept well.\n", "The patient slept well.", "THE PATIENT SLEPT WELL.\n\n"):
+        assert model.score(name) < model.threshold
+    assert sorted(count) == ["patient slept", "slept well", "the patient", "the patient slept well"]
+
+
 def test_abuse_inside_long_sentences():
     model = abuse.train([("The patient walked twenty metres and was well. Bloods were taken in the morning.", 0)] * 5)
     around = "the patient walked twenty metres and was well and then "
